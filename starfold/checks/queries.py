@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starfold.checks.staged_views import source_table, staged
 from starfold.functions.casts import to_decimal, to_float, to_int, to_long
-from starfold.functions.dates import date_key, timestamp_key
+from starfold.functions.dates import date_key, key_of_date, timestamp_key
 from starfold.functions.labels import flag_label, full_name, or_default, past_or_current
 from starfold.functions.text import clean_newlines, null_tokens, repair_value
 from starfold.operators import profiling, quality
@@ -380,7 +380,7 @@ def fk_violations(spark, sf_dir):
     lines = source_table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("company_id"),
         # A century and four years later, so that some dates lie beyond the calendar.
-        date_key(F.add_months(F.col("l_shipdate").cast("date"), 1248).cast("string")).alias("shipped_at"),
+        key_of_date(F.add_months(F.col("l_shipdate").cast("date"), 1248)).alias("shipped_at"),
     )
     company = quality.broken_references(lines, "company_id", warehouse.table("dim_company"), "company_id")
     days = quality.broken_references(lines, "shipped_at", warehouse.table("dim_date"), "date_id", small=True)
@@ -532,8 +532,10 @@ def dim_date(spark, sf_dir):
 
 def _loaded_twice(spark, first: DataFrame, second: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
     store = Store(spark, new_folder(spark, "store"))
-    load(store, "t", first, keys, surrogate="id", null_safe=null_safe)
-    load(store, "t", second, keys, surrogate="id", null_safe=null_safe)
+    for batch in (first, second):
+        path = new_folder(spark, "batch")
+        batch.write.parquet(path)
+        load(store, "t", spark.read.parquet(path), keys, surrogate="id", null_safe=null_safe)
     return store.read("t").drop("created_at")
 
 

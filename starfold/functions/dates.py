@@ -13,19 +13,20 @@ def to_date(c: Column) -> Column:
     return c.try_cast("date")
 
 
-def _as_key(d: Column) -> Column:
+def key_of_date(d: Column) -> Column:
+    """A date as an integer; a missing one gives the unknown date."""
     number = F.year(d).cast("bigint") * 10000 + F.month(d) * 100 + F.dayofmonth(d)
     return F.when(d.isNull(), UNKNOWN_DATE_KEY).otherwise(number.try_cast("int"))
 
 
 def date_key(c: Column) -> Column:
     """Any text Spark reads as a date; missing or unreadable gives the unknown date."""
-    return _as_key(to_date(c))
+    return key_of_date(to_date(c))
 
 
 def timestamp_key(c: Column) -> Column:
     """Only text in the millisecond pattern; anything else gives the unknown date."""
-    return _as_key(F.try_to_timestamp(c, F.lit(MILLISECOND_PATTERN)).cast("date"))
+    return key_of_date(F.try_to_timestamp(c, F.lit(MILLISECOND_PATTERN)).cast("date"))
 
 
 def key_to_date(key: Column) -> Column:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# The texts that Spark reads as true.
+TRUE_TEXTS = ("t", "true", "y", "yes", "1")
+
 
 def or_default(value: str):
     """NULL becomes `value`."""
@@ -18,7 +21,7 @@ def flag_label(when_true: str, otherwise: str):
     """`when_true` for a text that reads as true, `otherwise` for anything else."""
 
     def label(c: Column) -> Column:
-        return F.when(c.try_cast("boolean"), when_true).otherwise(otherwise)
+        return F.when(F.lower(F.trim(c)).isin(*TRUE_TEXTS), when_true).otherwise(otherwise)
 
     return label
 

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # The statuses a step can end with.
 SUCCESS, SKIP, FAILED = "success", "skip", "failed"
-_ROW = "step string, process string, status string, source string, table_name string, error_msg string"
+_SCHEMA = (
+    "id string, step string, process string, status string, source string, table_name string, error_msg string, "
+    "etl_date timestamp, create_at timestamp"
+)
 
 
 class RunLog:
@@ -21,17 +24,21 @@ class RunLog:
     ) -> None:
         if status not in (SUCCESS, SKIP, FAILED):
             raise ValueError(f"unknown status {status}")
-        row = self.spark.createDataFrame([(step, process, status, source, table, error)], _ROW)
-        stamped = row.select(
+        row = self.spark.range(0, 1, 1, 1).select(
             F.expr("uuid()").alias("id"),
-            "*",
+            F.lit(step).alias("step"),
+            F.lit(process).alias("process"),
+            F.lit(status).alias("status"),
+            F.lit(source).alias("source"),
+            F.lit(table).alias("table_name"),
+            F.lit(error).cast("string").alias("error_msg"),
             F.date_trunc("second", F.current_timestamp()).alias("etl_date"),
             F.current_timestamp().alias("create_at"),
         )
-        stamped.coalesce(1).write.mode("append").parquet(self.path)
+        row.write.mode("append").json(self.path)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        return self.spark.read.schema(_SCHEMA).json(self.path)
 
 
 def summary(log: DataFrame) -> DataFrame:

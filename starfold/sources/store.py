@@ -61,9 +61,8 @@ class Store:
         df.write.mode("overwrite").parquet(path)
         rows = self.spark.read.parquet(path).count()
         (
-            self.spark.range(1)
+            self.spark.range(0, 1, 1, 1)
             .select(F.lit(number).alias("version"), F.lit(rows).alias("rows"), F.current_timestamp().alias("committed_at"))
-            .coalesce(1)
             .write.mode("append")
             .json(self._log(table))
         )
