@@ -82,15 +82,17 @@ def read_windows(
     Every field is text. The list of windows is short: years of a date range.
     """
 
+    record_schema = schema
+
     class Windows(DataSource):
         @classmethod
         def name(cls) -> str:
             return "starfold_windows"
 
         def schema(self):
-            return schema
+            return record_schema
 
-        def reader(self, _):
+        def reader(self, schema):
             return _WindowReader(schema, windows, fetch)
 
     spark.dataSource.register(Windows)
