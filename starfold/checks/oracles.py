@@ -477,25 +477,33 @@ oracle(
 )
 
 
-def _info(table: str, columns: str) -> str:
-    return " union all ".join(
-        f"select '{c}' column_name, count(*) n_rows, count({c}) n_non_null, 'string' data_type from {table}"
-        for c in columns.split()
-    )
-
-
+_ROUND_COLUMNS = (
+    "funding_round_id object_id funded_at funding_round_type funding_round_code raised_amount_usd "
+    "pre_money_valuation_usd post_money_valuation_usd participants is_first_round is_last_round"
+)
+_STAGED_COLUMNS = {
+    "company": "office_id object_id description region city state_code country_code latitude longitude created_at",
+    "people": "people_id object_id first_name last_name affiliation_name birthplace",
+    "relationships": "relationship_id person_object_id relationship_object_id title start_at end_at is_past sequence",
+    "acquisition": "acquisition_id acquiring_object_id acquired_object_id acquired_at price_amount "
+    "price_currency_code term_code",
+    "funding_rounds": _ROUND_COLUMNS,
+    "investments": "investment_id funding_round_id investor_object_id",
+    "funds": "fund_id object_id name funded_at raised_amount raised_currency_code",
+    "ipos": "ipo_id object_id public_at valuation_currency_code raised_currency_code valuation_amount raised_amount "
+    "stock_symbol",
+    "milestones": "milestone_id object_id milestone_at description milestone_code created_at",
+}
 oracle(
     "profile_info",
-    _info(
-        "stg_relationships",
-        "relationship_id person_object_id relationship_object_id title start_at end_at is_past sequence",
+    " union all ".join(
+        f"select '{t}' table_name, '{c}' column_name, count(*) n_rows, count({c}) n_non_null, 'string' data_type "
+        f"from stg_{t}"
+        for t, columns in _STAGED_COLUMNS.items()
+        for c in columns.split()
     ),
 )
 oracle("profile_distinct", "select distinct end_at from stg_relationships")
-_ROUND_COLUMNS = (
-    "funding_round_id object_id funded_at funding_round_type funding_round_code raised_amount_usd "
-    "pre_money_valuation_usd post_money_valuation_usd participants is_first_round is_last_round"
-)
 oracle(
     "profile_missing_pct",
     " union all ".join(

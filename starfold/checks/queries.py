@@ -29,6 +29,7 @@ from starfold.plans.specs import (
     INVESTMENTS,
     PARTICIPATION,
     PARTICIPATION_KEY,
+    STAGED_KEYS,
     acquisition_spec,
     legacy_money,
 )
@@ -466,7 +467,10 @@ def constraint_violations(spark, sf_dir):
 
 @query
 def profile_info(spark, sf_dir):
-    return profiling.table_info(staged(spark, sf_dir, "relationships"))
+    parts = [
+        profiling.table_info(staged(spark, sf_dir, name)).withColumn("table_name", F.lit(name)) for name in STAGED_KEYS
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query

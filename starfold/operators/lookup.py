@@ -81,7 +81,14 @@ def lookup_id(
     return joined.drop(nk)
 
 
+def matching(
+    rows: DataFrame, keys: DataFrame, spread: Column | None = None, flag: str = "matched"
+) -> DataFrame:
+    """`rows` with a column that is true where their key is in `keys`, NULL elsewhere."""
+    present = keys.distinct().withColumn(flag, F.lit(True))
+    return spread_left_join(rows, present, keys.columns, spread=spread)
+
+
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of `batch` whose key the target does not have."""
-    present = target.select(*keys).distinct()
-    return batch.join(present, list(keys), "left_anti")
+    """The rows of `batch` whose key the target does not have. `batch` is read from files."""
+    return matching(batch, target.select(*keys)).filter("matched is null").select(*batch.columns)

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starfold.operators.dedup import keep_first
 from starfold.operators.lookup import BROADCAST_ROWS
 from starfold.operators.surrogate import assign_ids
 from starfold.session import new_folder
@@ -130,3 +131,13 @@ def load(
         fresh = fresh.withColumn("created_at", F.current_timestamp())
     result = fresh if kept is None else kept.unionByName(fresh, allowMissingColumns=True)
     return store.commit(table, result)
+
+
+def load_extracted(staging: Store, table: str, rows: DataFrame, key: str, path: str) -> bool:
+    """Write the first row of each key to `path` and upsert from there; False when there is none."""
+    keep_first(rows, [key]).write.mode("overwrite").parquet(path)
+    batch = rows.sparkSession.read.parquet(path)
+    if batch.isEmpty():
+        return False
+    load(staging, table, batch, [key], stamped=False)
+    return True

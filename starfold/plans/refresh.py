@@ -8,9 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfold.operators.calendar import calendar
-from starfold.operators.dedup import keep_first
+from starfold.operators.lookup import matching
 from starfold.operators.quality import missing_report
-from starfold.operators.upsert import load
+from starfold.operators.upsert import load, load_extracted
 from starfold.plans import runlog
 from starfold.plans.marts import Dimension, build, build_participation
 from starfold.plans.runlog import RunLog
@@ -26,7 +26,7 @@ from starfold.plans.specs import (
     STAGED_KEYS,
     TableSpec,
 )
-from starfold.sources.files import day_before, write_json
+from starfold.sources.files import created_on_day_before, day_before, write_json
 from starfold.sources.store import Store
 
 
@@ -35,18 +35,15 @@ def stage(staging: Store, log: RunLog, table: str, rows: DataFrame | None, sourc
 
     With a run date only the rows created on the day before are taken. When a
     source repeats a key, as offices of one company do, the first row by its other
-    columns is kept.
+    columns is kept. The source is read once, into files, and loaded from there.
     """
 
     def work() -> bool:
         if rows is None:
             return False
         batch = rows if run_date is None else day_before(rows, "created_at", run_date)
-        if batch.isEmpty():
-            return False
-        key = STAGED_KEYS[table]
-        load(staging, table, keep_first(batch, [key]), [key], stamped=False)
-        return True
+        path = f"{staging.root}/_extracted/{table}/run={run_date or 'full'}"
+        return load_extracted(staging, table, batch, STAGED_KEYS[table], path)
 
     _logged(log, "staging", "load", source, table, work)
 
@@ -148,9 +145,9 @@ class Warehouse:
         """The day's investments, and those of the day's rounds, with all rounds."""
         dimensions = self.dimensions_of(INVESTMENTS, FUNDING_ROUNDS)
         if run_date is not None:
-            changed = day_before(rounds, "created_at", run_date).select("funding_round_id").distinct()
-            of_changed = investments.join(changed, "funding_round_id", "left_semi")
-            investments = day_before(investments, "created_at", run_date).unionByName(of_changed).distinct()
+            changed = day_before(rounds, "created_at", run_date).select("funding_round_id")
+            flagged = matching(investments, changed, flag="_round_changed")
+            investments = flagged.filter(F.col("_round_changed") | created_on_day_before(flagged, "created_at", run_date))
         rows = build_participation(
             build(INVESTMENTS, investments, dimensions), build(FUNDING_ROUNDS, rounds, dimensions)
         )

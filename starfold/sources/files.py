@@ -69,8 +69,8 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def day_before(df: DataFrame, created_at: str, run_date: str) -> DataFrame:
-    """Rows created on the day before `run_date`, as a half-open range.
+def created_on_day_before(df: DataFrame, created_at: str, run_date: str) -> Column:
+    """Whether a row was created on the day before `run_date`, as a half-open range.
 
     Works for timestamps and for ISO text; both forms reach the file scan.
     """
@@ -80,7 +80,12 @@ def day_before(df: DataFrame, created_at: str, run_date: str) -> DataFrame:
         low, high = F.date_sub(run, 1).cast("string"), run.cast("string")
     else:
         low, high = F.date_sub(run, 1), run
-    return df.filter((column >= low) & (column < high))
+    return (column >= low) & (column < high)
+
+
+def day_before(df: DataFrame, created_at: str, run_date: str) -> DataFrame:
+    """Rows created on the day before `run_date`."""
+    return df.filter(created_on_day_before(df, created_at, run_date))
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starfold.operators.dedup import keep_first
-from starfold.operators.upsert import load
+from starfold.operators.upsert import load_extracted
 from starfold.sources.pages import MILESTONE_SCHEMA, clean_page
 from starfold.sources.store import Store
 
@@ -27,8 +26,8 @@ def load_landed_pages(
     a failure upserts the same rows again, which changes nothing.
     """
 
-    def take(batch: DataFrame, _: int) -> None:
-        load(staging, table, keep_first(clean_page(batch), [key]), [key], stamped=False)
+    def take(batch: DataFrame, number: int) -> None:
+        load_extracted(staging, table, clean_page(batch), key, f"{staging.root}/_extracted/{table}/batch={number}")
 
     pages = (
         spark.readStream.schema(schema)
