@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 # A dimension side is an id (8 bytes) and a natural key of at most 255 characters
-# (1,020 bytes), so this many rows stay below 256 MB on every executor.
+# (1,020 bytes; longer ones are not loaded), so this many rows stay near 256 MB.
 BROADCAST_ROWS = 250_000
 # Keys that are spread, and over how many tasks. The list of hot keys is at most
 # HOT_KEYS rows, which bounds its broadcast. A key outside the list has fewer rows

@@ -8,12 +8,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starfold.operators.dedup import keep_first
-from starfold.operators.lookup import BROADCAST_ROWS
 from starfold.operators.surrogate import assign_ids
 from starfold.session import new_folder
 from starfold.sources.store import Store, Version
 
 
+# Keys of a batch are sent to every task only while all of them together are below this size.
+BROADCAST_BYTES = 256 * 1024 * 1024
+# Bytes a key takes in a broadcast table besides its text.
+_KEY_OVERHEAD = 64
+
+
 class DuplicateKeys(ValueError):
     """A batch holds the same key more than once."""
 
@@ -28,18 +33,22 @@ def duplicate_keys(batch: DataFrame, keys: Sequence[str], null_safe: bool = Fals
     return rows.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
 
 
-def _checked_rows(batch: DataFrame, keys: Sequence[str], null_safe: bool) -> int:
-    """The row count of the batch; raises when a key is repeated."""
+def _checked_key_bytes(batch: DataFrame, keys: Sequence[str], null_safe: bool) -> int:
+    """An upper bound of the size of all keys of the batch; raises when a key is repeated."""
     unkeyed = F.lit(False) if null_safe else _has_null(keys)
     per_key = batch.withColumn("_unkeyed", unkeyed).groupBy(*keys, "_unkeyed").agg(F.count("*").alias("n"))
+    width = reduce(
+        lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys]
+    )
     found = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.max(width), F.lit(0)).alias("widest"),
         F.count_if((F.col("n") > 1) & ~F.col("_unkeyed")).alias("n_repeated"),
     ).first()
     if found.n_repeated:
         sample = [tuple(row) for row in duplicate_keys(batch, keys, null_safe).limit(5).collect()]
         raise DuplicateKeys(f"{found.n_repeated} keys are repeated, among them {sample}")
-    return found.n_rows
+    return found.n_rows * (found.widest + _KEY_OVERHEAD)
 
 
 def _on(left: str, right: str, keys: Sequence[str], null_safe: bool) -> Column:
@@ -65,13 +74,14 @@ def _update(target: DataFrame, batch: DataFrame, keys: Sequence[str], null_safe:
 
 
 def merge(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], batch_rows: int | None = None, null_safe: bool = False
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], key_bytes: int | None = None, null_safe: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(target rows after the update, batch rows to insert).
 
-    A batch of few rows sends only its keys to the tasks that scan the target:
-    rows it does not touch are copied without a shuffle. Otherwise both sides are
-    shuffled on the key. Rows with a NULL key match nothing and skip the joins.
+    A batch whose keys have a known, small size sends only them to the tasks that
+    scan the target: rows it does not touch are copied without a shuffle. Otherwise
+    both sides are shuffled on the key. Rows with a NULL key match nothing and skip
+    the joins.
     """
     keys = list(keys)
     if null_safe:
@@ -81,7 +91,7 @@ def merge(
         keyed_target, loose_target = target.filter(~_has_null(keys)), target.filter(_has_null(keys))
         keyed_batch, loose_batch = batch.filter(~_has_null(keys)), batch.filter(_has_null(keys))
 
-    if batch_rows is not None and batch_rows <= BROADCAST_ROWS:
+    if key_bytes is not None and key_bytes <= BROADCAST_BYTES:
         wanted = F.broadcast(keyed_batch.select(*keys)).alias("k")
         on = _on("t", "k", keys, null_safe)
         untouched = keyed_target.alias("t").join(wanted, on, "left_anti")
@@ -114,7 +124,7 @@ def load(
     scanned more than once, so pass one that is read from files.
     """
     spark = batch.sparkSession
-    batch_rows = _checked_rows(batch, keys, null_safe)
+    key_bytes = _checked_key_bytes(batch, keys, null_safe)
     before = store.current(table)
     if before is None:
         kept, fresh, last_id = None, batch, 0
@@ -123,7 +133,7 @@ def load(
         unknown = set(batch.columns) - set(target.columns)
         if unknown:
             raise ValueError(f"{table} has no columns {sorted(unknown)}")
-        kept, fresh = merge(target, batch, keys, batch_rows, null_safe)
+        kept, fresh = merge(target, batch, keys, key_bytes, null_safe)
         last_id = (target.agg(F.max(surrogate)).first()[0] or 0) if surrogate else 0
     if surrogate:
         fresh = assign_ids(fresh, keys, surrogate, new_folder(spark, f"new-{table}"), last_id)

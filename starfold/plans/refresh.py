@@ -58,14 +58,19 @@ def _logged(log: RunLog, step: str, process: str, source: str, table: str, work:
     return done
 
 
-def split_by_calendar(rows: DataFrame, date_cols: tuple[str, ...], days: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows whose date keys are all calendar days or NULL, the other rows).
-
-    The calendar is one contiguous range of valid dates, so a key made from a date
-    is in it exactly when it lies between the first and the last.
+def split_by_rules(
+    rows: DataFrame, date_cols: tuple[str, ...], lengths: Mapping[str, int], days: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit the table, the other rows).
+
+    Date keys must be calendar days or NULL, and texts no longer than declared. The
+    calendar is one contiguous range of valid dates, so a key made from a date is in
+    it exactly when it lies between the first and the last.
     """
-    first, last = days.agg(F.min("date_id"), F.max("date_id")).first()
-    checks = [F.col(c).isNull() | F.col(c).between(first, last) for c in date_cols]
+    checks = [F.col(c).isNull() | (F.length(c) <= n) for c, n in lengths.items()]
+    if date_cols:
+        first, last = days.agg(F.min("date_id"), F.max("date_id")).first()
+        checks += [F.col(c).isNull() | F.col(c).between(first, last) for c in date_cols]
     good = reduce(lambda a, b: a & b, checks, F.lit(True))
     return rows.filter(good), rows.filter(~good)
 
@@ -107,10 +112,14 @@ class Warehouse:
         key: tuple[str, ...],
         surrogate: str,
         date_cols: tuple[str, ...] = (),
+        lengths: Mapping[str, int] | None = None,
         run_date: str | None = None,
         null_safe: bool = False,
     ) -> None:
-        """Write built rows, report their missing values, load them."""
+        """Write built rows, report their missing values, load them.
+
+        Rows that break a declared rule are written to `rejected`, not loaded.
+        """
         path = self._slice(name, run_date)
         rejected = path.replace("/transformed/", "/rejected/")
 
@@ -125,9 +134,9 @@ class Warehouse:
 
         def insert() -> bool:
             batch = self.spark.read.parquet(path)
-            if date_cols:
-                batch, outside = split_by_calendar(batch, date_cols, self.table("dim_date"))
-                outside.write.mode("overwrite").parquet(rejected)
+            if date_cols or lengths:
+                batch, others = split_by_rules(batch, date_cols, lengths or {}, self.table("dim_date"))
+                others.write.mode("overwrite").parquet(rejected)
             load(self.store, name, batch, key, surrogate, null_safe)
             return True
 
@@ -139,7 +148,7 @@ class Warehouse:
         if run_date is not None and spec.refresh == "daily":
             staged = day_before(staged, "created_at", run_date)
         rows = build(spec, staged, self.dimensions_of(spec))
-        self.refresh(spec.name, rows, spec.key, spec.surrogate, spec.date_cols, run_date)
+        self.refresh(spec.name, rows, spec.key, spec.surrogate, spec.date_cols, spec.lengths, run_date)
 
     def refresh_participation(self, investments: DataFrame, rounds: DataFrame, run_date: str | None = None) -> None:
         """The day's investments, and those of the day's rounds, with all rounds."""
@@ -151,7 +160,16 @@ class Warehouse:
         rows = build_participation(
             build(INVESTMENTS, investments, dimensions), build(FUNDING_ROUNDS, rounds, dimensions)
         )
-        self.refresh(PARTICIPATION, rows, PARTICIPATION_KEY, PARTICIPATION_ID, ("funded_at",), run_date, null_safe=True)
+        self.refresh(
+            PARTICIPATION,
+            rows,
+            PARTICIPATION_KEY,
+            PARTICIPATION_ID,
+            ("funded_at",),
+            FUNDING_ROUNDS.lengths,
+            run_date,
+            null_safe=True,
+        )
 
     def refresh_all(self, staged: Mapping[str, DataFrame], run_date: str | None = None) -> None:
         """Calendar, dimensions, then facts. Staged tables that are absent are skipped."""

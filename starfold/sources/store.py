@@ -18,11 +18,16 @@ class Version:
 
 
 class Store:
-    """Tables under one shared folder, with one writer per table at a time."""
+    """Tables under one shared folder, with one writer per table at a time.
+
+    A store keeps to the version of a table it saw first, and to its own commits
+    after that, so that one run reads one state. Open a new store to see later ones.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self._seen: dict[str, Version] = {}
 
     def _log(self, table: str) -> str:
         return f"{self.root}/_commits/{table}"
@@ -32,6 +37,8 @@ class Store:
 
     def current(self, table: str) -> Version | None:
         """The newest committed version, or None before the first."""
+        if table in self._seen:
+            return self._seen[table]
         try:
             commits = self.spark.read.schema(_COMMIT).json(self._log(table))
         except AnalysisException as error:
@@ -41,7 +48,8 @@ class Store:
         newest = commits.orderBy(F.desc("version")).first()
         if newest is None:
             return None
-        return Version(newest.version, newest.rows, self._path(table, newest.version))
+        self._seen[table] = Version(newest.version, newest.rows, self._path(table, newest.version))
+        return self._seen[table]
 
     def read(self, table: str) -> DataFrame:
         version = self.current(table)
@@ -66,7 +74,8 @@ class Store:
             .write.mode("append")
             .json(self._log(table))
         )
-        return Version(number, rows, path)
+        self._seen[table] = Version(number, rows, path)
+        return self._seen[table]
 
     def tables(self, names: list[str]) -> DataFrame:
         """Name, version and rows of those of `names` that have been committed."""

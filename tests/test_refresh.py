@@ -151,6 +151,15 @@ def test_dates_outside_the_calendar_are_set_aside(spark, folder):
     assert [(r.ipo_nk, r.public_at) for r in rejected] == [(1, 18500101)]
 
 
+def test_too_long_texts_are_set_aside(spark, folder):
+    warehouse = Warehouse(spark, folder)
+    warehouse.refresh_calendar()
+    rows = [dict(object_id="c:1", description="d" * 9999, city="x" * 255), dict(object_id="c:2", city="x" * 256), dict(object_id="c" * 256)]
+    warehouse.refresh_table(BY_NAME["dim_company"], frame(spark, "company", rows))
+    assert [r.company_nk for r in warehouse.table("dim_company").collect()] == ["c:1"]
+    assert spark.read.parquet(f"{folder}/rejected/dim_company/run=full").count() == 2
+
+
 def test_nothing_new_is_a_skip_and_a_failure_is_logged(spark, folder, as_rows):
     warehouse = Warehouse(spark, folder)
     warehouse.refresh_calendar()

@@ -15,7 +15,7 @@ def stored(store, as_rows, *columns):
 @pytest.fixture(params=["few rows", "many rows"])
 def size(request, monkeypatch):
     if request.param == "many rows":
-        monkeypatch.setattr(upsert, "BROADCAST_ROWS", -1)
+        monkeypatch.setattr(upsert, "BROADCAST_BYTES", -1)
     return request.param
 
 
@@ -84,7 +84,7 @@ def test_target_is_not_shuffled_for_a_small_batch(spark, folder):
     spark.range(1000).select("id", F.lit("x").alias("a")).write.parquet(f"{folder}/t")
     target = spark.read.parquet(f"{folder}/t")
     batch = spark.createDataFrame([(1, "y")], "id long, a string")
-    kept, _ = merge(target, batch, ["id"], batch_rows=1)
+    kept, _ = merge(target, batch, ["id"], key_bytes=100)
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [id" in plan and "LeftAnti" in plan
     untouched = plan[: plan.index("LeftAnti")]
