@@ -353,11 +353,12 @@ oracle(
     from stg_investments left join dim_company on company_nk = investor_object_id""",
 )
 _CTES["order_target"] = """
-    select o_orderkey nk, o_orderstatus status, cast(o_totalprice as decimal(15,2)) amount, o_orderpriority priority
+    select o_orderkey nk, o_orderstatus status, cast(floor(o_totalprice * 100 + 0.5) as bigint) amount,
+      o_orderpriority priority
     from orders"""
 _CTES["order_batch"] = """
     select l_orderkey * 2 nk, min(case when l_returnflag <> 'N' then l_returnflag end) status,
-      cast(sum(cast(l_extendedprice as decimal(15,2))) as decimal(15,2)) amount
+      cast(sum(floor(l_extendedprice * 100 + 0.5)) as bigint) amount
     from lineitem group by 1"""
 oracle(
     "insert_only_load",
@@ -567,7 +568,7 @@ oracle(
 
 def _lines(line: str) -> str:
     return f"""select l_orderkey order_nk, {line} line_nk,
-      cast(sum(cast(l_quantity as decimal(15,2))) as decimal(15,2)) quantity, count(*) n_lines
+      cast(sum(floor(l_quantity * 100 + 0.5)) as bigint) quantity, count(*) n_lines
       from lineitem group by all"""
 
 

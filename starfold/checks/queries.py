@@ -353,18 +353,22 @@ def lookup_without_broadcast(spark, sf_dir):
     return lookup_id(rows, company.rows, None, "investor_object_id", "company_nk", "company_id", "investor_company_id")
 
 
+def _cents(column: str) -> Column:
+    return F.floor(F.col(column) * 100 + 0.5)
+
+
 def _order_keys(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A table keyed by order, and a batch that updates some of its rows and adds others."""
     target = source_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("nk"),
         F.col("o_orderstatus").alias("status"),
-        F.col("o_totalprice").cast("decimal(15,2)").alias("amount"),
+        _cents("o_totalprice").alias("amount"),
         F.col("o_orderpriority").alias("priority"),
     )
     lines = source_table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") * 2).alias("nk"))
     batch = lines.agg(
         F.min(F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))).alias("status"),
-        F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).cast("decimal(15,2)").alias("amount"),
+        F.sum(_cents("l_extendedprice")).alias("amount"),
     )
     return target, batch
 
@@ -552,7 +556,7 @@ def upsert_single_key(spark, sf_dir):
 def _line_keys(spark: SparkSession, sf_dir: str, line: Column) -> DataFrame:
     lines = source_table(spark, sf_dir, "lineitem")
     return lines.groupBy(F.col("l_orderkey").alias("order_nk"), line.alias("line_nk")).agg(
-        F.sum(F.col("l_quantity").cast("decimal(15,2)")).cast("decimal(15,2)").alias("quantity"),
+        F.sum(_cents("l_quantity")).alias("quantity"),
         F.count("*").alias("n_lines"),
     )
 
@@ -569,7 +573,7 @@ def upsert_null_key(spark, sf_dir):
     """A key with a NULL part never matches, so its rows are inserted again."""
     line = F.when(F.col("l_linenumber") > 2, F.col("l_linenumber"))
     rows = _line_keys(spark, sf_dir, line)
-    changed = rows.withColumn("quantity", (F.col("quantity") + 1).cast("decimal(15,2)"))
+    changed = rows.withColumn("quantity", F.col("quantity") + 1)
     return _loaded_twice(spark, rows, changed, ["order_nk", "line_nk"])
 
 
@@ -578,7 +582,7 @@ def upsert_null_safe_key(spark, sf_dir):
     """With NULL parts compared as equal, a second load only updates."""
     line = F.when(F.col("l_linenumber") > 2, F.col("l_linenumber"))
     rows = _line_keys(spark, sf_dir, line)
-    changed = rows.withColumn("quantity", (F.col("quantity") + 1).cast("decimal(15,2)"))
+    changed = rows.withColumn("quantity", F.col("quantity") + 1)
     return _loaded_twice(spark, rows, changed, ["order_nk", "line_nk"], null_safe=True)
 
 
