@@ -19,7 +19,7 @@ from starfold.operators.lookup import insert_if_absent, lookup_id
 from starfold.operators.surrogate import assign_ids
 from starfold.operators.upsert import duplicate_keys, load
 from starfold.plans import analytics, runlog
-from starfold.plans.marts import build, participation_from_staged
+from starfold.plans.marts import build, build_participation
 from starfold.plans.refresh import Warehouse
 from starfold.plans.specs import (
     BY_NAME,
@@ -117,7 +117,7 @@ def fact_acquisition_legacy_money(spark, sf_dir):
 @query
 def fact_investment_round_participation(spark, sf_dir):
     dimensions = _with(spark, sf_dir, "dim_company").dimensions_of(INVESTMENTS, FUNDING_ROUNDS)
-    return participation_from_staged(
+    return build_participation(
         staged(spark, sf_dir, "investments"), staged(spark, sf_dir, "funding_rounds"), dimensions
     )
 

@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 # A dimension side is an id (8 bytes) and a natural key of at most 255 characters
 # (1,020 bytes; longer ones are not loaded), so this many rows stay near 256 MB.
 BROADCAST_ROWS = 250_000
-# Keys that are spread, and over how many tasks. The list of hot keys is at most
-# HOT_KEYS rows, which bounds its broadcast. A key outside the list has fewer rows
-# than each of them, so less than 1/1024 of all rows, or fewer than HOT_ROWS.
+# Keys that are spread, and over how many tasks. A key outside the list has fewer
+# rows than each of them, so less than 1/1024 of all rows, or fewer than HOT_ROWS.
 HOT_KEYS = 1024
 HOT_ROWS = 1_000_000
 SALTS = 64
@@ -40,20 +39,31 @@ def spread_left_join(
     from files. Give a hash of a unique column for rows that come out of a shuffle.
     """
     keys = list(keys)
-    hot = (hot_keys(rows, keys) if hot is None else hot).withColumn("_hot", F.lit(True))
+    hot = hot_keys(rows, keys) if hot is None else hot
+    kinds = [[df.schema[k].dataType for k in keys] for df in (rows, side, hot)]
+    if not kinds[0] == kinds[1] == kinds[2]:
+        raise TypeError(f"the types of {keys} differ: {kinds}")
+    key_hash = F.xxhash64(*keys)
+    # Only hashes are broadcast: HOT_KEYS rows of 8 bytes. A key that shares a hot
+    # key's hash is salted too, on both sides.
+    hashes = F.broadcast(hot.select(key_hash.alias("_hash"), F.lit(True).alias("_hot")).distinct())
     spread = F.monotonically_increasing_id() if spread is None else spread
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salted = (
-        rows.join(F.broadcast(hot), keys, "left")
+        rows.withColumn("_hash", key_hash)
+        .join(hashes, "_hash", "left")
         .withColumn(
             "_salt",
             F.when(F.col("_hot") | any_null, F.pmod(spread, F.lit(SALTS)).cast("int")).otherwise(0),
         )
-        .drop("_hot")
+        .drop("_hash", "_hot")
     )
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     repeated = (
-        side.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+        side.withColumn("_hash", key_hash)
+        .join(hashes, "_hash", "left")
+        .withColumn("_salt", F.explode(salts))
+        .drop("_hash", "_hot")
     )
     return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")
 

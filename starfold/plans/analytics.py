@@ -145,8 +145,9 @@ def round_to_milestone(participation: DataFrame, milestones: DataFrame) -> DataF
         F.col("day").alias("funded_at"),
         F.last(event, ignorenulls=True).over(later).alias("next"),
     ).filter("next is not null")
+    keys = ["investee_company_id", "funded_at"]
     matched = spread_left_join(
-        rounds, upcoming, ["investee_company_id", "funded_at"], spread=F.xxhash64("funding_round_nk")
+        rounds, upcoming, keys, hot_keys(participation, keys), F.xxhash64("funding_round_nk")
     )
     return matched.select(
         "funding_round_nk",

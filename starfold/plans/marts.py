@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starfold.functions.casts import to_long
 from starfold.functions.text import clean_newlines
 from starfold.operators.dedup import keep_first
 from starfold.operators.lookup import BROADCAST_ROWS, hot_keys, lookup_id, spread_left_join
@@ -29,15 +30,17 @@ class Dimension:
     n_rows: int | None = None
 
 
-def build(spec: TableSpec, staged: DataFrame, dimensions: Mapping[str, Dimension] | None = None) -> DataFrame:
-    """The rows of one table, without its own surrogate id."""
+def _build(
+    spec: TableSpec, staged: DataFrame, dimensions: Mapping[str, Dimension] | None = None
+) -> DataFrame:
+    """The table's rows and, where they went through a shuffle, `_spread` that differs from row to row."""
     rows = staged.select(*spec.staged_columns)
+    extra = [F.col(k.source).alias(k.nk) for k in spec.lookups]
     if spec.one_row_per:
         rows = keep_first(rows, [spec.one_row_per])
-    keys = [F.col(k.source).alias(k.nk) for k in spec.lookups]
-    rows = rows.select(*[f.column() for f in spec.fields], *keys)
-    # After one_row_per the key is unique; rows straight from files go by their place.
-    spread = F.xxhash64(*spec.key) if spec.one_row_per else None
+        extra.append(F.xxhash64(spec.one_row_per).alias("_spread"))
+    rows = rows.select(*[f.column() for f in spec.fields], *extra)
+    spread = F.col("_spread") if spec.one_row_per else None
     for lookup in spec.lookups:
         nk, dimension_id = DIMENSION_KEYS[lookup.dimension]
         dimension = dimensions[lookup.dimension]
@@ -49,19 +52,31 @@ def build(spec: TableSpec, staged: DataFrame, dimensions: Mapping[str, Dimension
     return rows
 
 
+def build(
+    spec: TableSpec, staged: DataFrame, dimensions: Mapping[str, Dimension] | None = None
+) -> DataFrame:
+    """The rows of one table, without its own surrogate id."""
+    return _build(spec, staged, dimensions).drop("_spread")
+
+
 def build_participation(
-    investments: DataFrame, rounds: DataFrame, money: Callable[[Column], Column] = declared_money
+    investments: DataFrame,
+    rounds: DataFrame,
+    dimensions: Mapping[str, Dimension],
+    money: Callable[[Column], Column] = declared_money,
 ) -> DataFrame:
-    """Investments with the attributes of their round, NULL where the round is missing.
+    """Staged investments with the attributes of their round, NULL where the round is missing.
 
-    Takes the built investment and round rows. A round with a large share of the
-    investments is spread over tasks.
+    A round with a large share of the investments is spread over tasks.
     """
+    round_nk = "funding_round_nk"
+    hot = hot_keys(investments.select(to_long(F.col("funding_round_id")).alias(round_nk)), [round_nk])
     joined = spread_left_join(
-        investments,
-        rounds,
-        ["funding_round_nk"],
-        spread=F.xxhash64("investment_nk"),
+        _build(INVESTMENTS, investments, dimensions),
+        build(FUNDING_ROUNDS, rounds, dimensions),
+        [round_nk],
+        hot,
+        F.col("_spread"),
     )
     return joined.select(
         *PARTICIPATION_KEY,
@@ -77,14 +92,6 @@ def build_participation(
     )
 
 
-def participation_from_staged(
-    investments: DataFrame, rounds: DataFrame, dimensions: Mapping[str, Dimension]
-) -> DataFrame:
-    return build_participation(
-        build(INVESTMENTS, investments, dimensions), build(FUNDING_ROUNDS, rounds, dimensions)
-    )
-
-
 def investee_mismatches(investments: DataFrame, rounds: DataFrame) -> DataFrame:
     """Staged investments whose funded company differs from their round's company."""
     left = investments.select("investment_id", "funding_round_id", "funded_object_id")

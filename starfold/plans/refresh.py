@@ -157,9 +157,7 @@ class Warehouse:
             changed = day_before(rounds, "created_at", run_date).select("funding_round_id")
             flagged = matching(investments, changed, flag="_round_changed")
             investments = flagged.filter(F.col("_round_changed") | created_on_day_before(flagged, "created_at", run_date))
-        rows = build_participation(
-            build(INVESTMENTS, investments, dimensions), build(FUNDING_ROUNDS, rounds, dimensions)
-        )
+        rows = build_participation(investments, rounds, dimensions)
         self.refresh(
             PARTICIPATION,
             rows,

@@ -57,6 +57,14 @@ def skewed(spark):
     return spark.range(n).select(key.cast("long").alias("k"), (F.col("id") % (n // 2)).alias("v"))
 
 
+def test_spread_join_on_two_keys(spark, as_rows):
+    left = skewed(spark).withColumn("j", F.col("v") % 2)
+    right = spark.range(80).select((F.col("id") % 40).alias("k"), (F.col("id") % 2).alias("j"), F.col("id").alias("w"))
+    expected = as_rows(left.join(right, ["k", "j"], "left"), "k", "j", "v", "w")
+    hot = hot_keys(left, ["k", "j"], 10)
+    assert as_rows(spread_left_join(left, right, ["k", "j"], hot), "k", "j", "v", "w") == expected
+
+
 @pytest.mark.parametrize("min_rows", [1, 500, 10**9])
 def test_spread_join_equals_plain_join(spark, as_rows, min_rows):
     left = skewed(spark)
@@ -79,6 +87,12 @@ def test_spread_join_splits_hot_and_missing_keys(spark, monkeypatch):
     assert largest <= 2 * 1100 / SALTS + 4
 
 
+def test_spread_join_refuses_keys_of_different_types(spark):
+    right = spark.range(3).select(F.col("id").cast("int").alias("k"))
+    with pytest.raises(TypeError):
+        spread_left_join(skewed(spark), right, ["k"])
+
+
 def test_hot_keys_finds_the_frequent_key_only(spark):
     assert [r.k for r in hot_keys(skewed(spark), ["k"], 500).collect()] == [1]
 
