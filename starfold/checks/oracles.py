@@ -231,7 +231,7 @@ oracle(
 )
 oracle(
     "list_tables",
-    " union all ".join(f"select '{name}' table_name, 1 as version, count(*) as \"rows\" from {name}" for name in LOADED),
+    " union all ".join(f"select '{name}' table_name, cast(1 as bigint) as version, count(*) as \"rows\" from {name}" for name in LOADED),
 )
 
 # Projection, cleaning and scalar functions
@@ -608,6 +608,24 @@ oracle(
     "select investment_id, count(*) n_rows from stg_investments group by investment_id having count(*) > 1",
 )
 
+# Staging and daily runs
+
+oracle(
+    "stage_from_database",
+    """select milestone_id, object_id, milestone_at, replace(description, chr(10), ' ') description, milestone_code,
+      created_at from stg_milestones""",
+)
+oracle("stage_from_files", "select * from stg_people")
+oracle("stage_from_pages", "select * from clean_pages")
+oracle("stage_from_landed_stream", "select * from clean_pages")
+oracle(
+    "daily_refresh",
+    f"""select row_number() over (order by milestone_nk) milestone_id, milestone_nk, f.milestone_at, f.description,
+      case when left(created_at, 10) = cast(cast(date '{SLICE_RUN_DATE}' - interval 1 day as date) as varchar)
+        then upper(f.milestone_code) else f.milestone_code end milestone_code, company_id
+    from fact_milestones f join stg_milestones s on cast(s.milestone_id as bigint) = milestone_nk""",
+)
+
 # Questions
 
 oracle(
@@ -641,8 +659,8 @@ oracle(
       from dated join fact_milestones m on m.company_id = investee_company_id
         and m.milestone_at > funded_at and m.milestone_at <> 21000101)
     select funding_round_nk, investee_company_id company_id, funded_at, milestone_nk, milestone_at,
-      cast(strptime(cast(milestone_at as varchar), '%Y%m%d') as date)
-        - cast(strptime(cast(funded_at as varchar), '%Y%m%d') as date) days_between
+      cast(cast(strptime(cast(milestone_at as varchar), '%Y%m%d') as date)
+        - cast(strptime(cast(funded_at as varchar), '%Y%m%d') as date) as int) days_between
     from dated left join (select * from ahead where rn = 1) using (funding_round_nk)""",
 )
 oracle(
@@ -708,8 +726,8 @@ oracle(
     steps as (select distinct people_id, start_at from dated)
     select d.people_id, cast(dense_rank() over (partition by d.people_id order by d.start_at) as int) step_no,
       relationship_nk, title, company_id, d.start_at, n.start_at next_start_at,
-      cast(strptime(cast(n.start_at as varchar), '%Y%m%d') as date)
-        - cast(strptime(cast(d.start_at as varchar), '%Y%m%d') as date) days_to_next
+      cast(cast(strptime(cast(n.start_at as varchar), '%Y%m%d') as date)
+        - cast(strptime(cast(d.start_at as varchar), '%Y%m%d') as date) as int) days_to_next
     from dated d left join (
       select people_id, start_at as from_day, lead(start_at) over (partition by people_id order by start_at) start_at
       from steps) n on n.people_id = d.people_id and from_day = d.start_at""",

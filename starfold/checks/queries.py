@@ -19,8 +19,9 @@ from starfold.operators.lookup import insert_if_absent, lookup_id
 from starfold.operators.surrogate import assign_ids
 from starfold.operators.upsert import duplicate_keys, load
 from starfold.plans import analytics, runlog
-from starfold.plans.marts import build, build_participation
-from starfold.plans.refresh import Warehouse
+from starfold.plans.marts import build, build_participation, stage_database_rows
+from starfold.plans.refresh import Warehouse, stage
+from starfold.plans.runlog import RunLog
 from starfold.plans.specs import (
     BY_NAME,
     DIMENSIONS,
@@ -37,6 +38,7 @@ from starfold.session import new_folder
 from starfold.sources.files import day_before, read_csv, read_slice, write_csv, write_json, write_slices
 from starfold.sources.pages import backfill_windows, read_pages
 from starfold.sources.store import Store
+from starfold.streaming.landing import load_landed_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -607,6 +609,62 @@ def run_log_summary(spark, sf_dir):
     return runlog.summary(_with(spark, sf_dir, *LOADED).log.read())
 
 
+# Staging and daily runs
+
+
+def _staged_through(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
+    folder = new_folder(spark, "staging")
+    staging = Store(spark, folder)
+    stage(staging, RunLog(spark, f"{folder}/run_log"), table, rows, "source")
+    return staging.read(table)
+
+
+@query
+def stage_from_database(spark, sf_dir):
+    """Typed rows become text without newlines, one row per key."""
+    return _staged_through(spark, "milestones", stage_database_rows(staged(spark, sf_dir, "milestones")))
+
+
+@query
+def stage_from_files(spark, sf_dir):
+    people = staged(spark, sf_dir, "people")
+    path = new_folder(spark, "people")
+    write_csv(people, path)
+    return _staged_through(spark, "people", read_csv(spark, path, people.columns))
+
+
+@query
+def stage_from_pages(spark, sf_dir):
+    pages = read_pages(spark, _landed_pages(spark, sf_dir), whole_lists=False)
+    return _staged_through(spark, "milestones", pages)
+
+
+@query
+def stage_from_landed_stream(spark, sf_dir):
+    folder = new_folder(spark, "stream")
+    staging = Store(spark, folder)
+    landed = _landed_pages(spark, sf_dir)
+    load_landed_pages(
+        spark, landed, staging, "milestones", "milestone_id", f"{folder}/checkpoint", whole_lists=False
+    ).awaitTermination()
+    return staging.read("milestones")
+
+
+@query
+def daily_refresh(spark, sf_dir):
+    """A whole load, then one day's rows again: the day's rows are updated and keep their ids."""
+    spec = BY_NAME["fact_milestones"]
+    loaded = _with(spark, sf_dir, "dim_company")
+    warehouse = Warehouse(spark, new_folder(spark, "daily"))
+    for name in ("dim_date", "dim_company"):
+        warehouse.store.commit(name, loaded.table(name))
+    rows = staged(spark, sf_dir, spec.staged)
+    warehouse.refresh_table(spec, rows)
+    changed = rows.withColumn("milestone_code", F.upper("milestone_code"))
+    warehouse.refresh_table(spec, changed, SLICE_RUN_DATE)
+    return warehouse.table(spec.name).drop("created_at")
+
+
 # Questions
 
 

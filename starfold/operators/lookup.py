@@ -10,17 +10,45 @@ from pyspark.sql import Column, DataFrame, functions as F
 # A dimension side is an id (8 bytes) and a natural key of at most 255 characters
 # (1,020 bytes; longer ones are not loaded), so this many rows stay near 256 MB.
 BROADCAST_ROWS = 250_000
-# Keys that are spread, and over how many tasks. A key outside the list has fewer
-# rows than each of them, so less than 1/1024 of all rows, or fewer than HOT_ROWS.
-HOT_KEYS = 1024
+# A key with more rows than this is split into parts of about so many rows.
 HOT_ROWS = 1_000_000
-SALTS = 64
+# At most so many keys are split, each broadcast as a hash and a number (12 bytes).
+# A key outside the list has fewer rows than each of them, so fewer than HOT_ROWS,
+# or less than 1/500,000 of all rows.
+HOT_KEYS = 500_000
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """The most frequent keys with at least `min_rows` rows; at most HOT_KEYS of them."""
-    counts = rows.groupBy(*keys).count().filter(F.col("count") >= min_rows)
-    return counts.dropna(subset=list(keys)).orderBy(F.desc("count")).limit(HOT_KEYS).select(*keys)
+def hot_keys(rows: DataFrame, keys: Sequence[str], part_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than `part_rows` rows, and `_parts`, the parts to split each into."""
+    counts = rows.dropna(subset=list(keys)).groupBy(*keys).count().filter(F.col("count") > part_rows)
+    most = counts.orderBy(F.desc("count")).limit(HOT_KEYS)
+    return most.select(*keys, F.ceil(F.col("count") / part_rows).cast("int").alias("_parts"))
+
+
+def _with_parts(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """`_parts` for the rows of hot keys, 1 for others.
+
+    Keys are compared by hash, to keep the broadcast small; a key that shares a hot
+    key's hash is split as well, in the same way on both sides of the join.
+    """
+    by_hash = hot.groupBy(F.xxhash64(*keys).alias("_hash")).agg(F.max("_parts").alias("_parts"))
+    return (
+        df.withColumn("_hash", F.xxhash64(*keys))
+        .join(F.broadcast(by_hash), "_hash", "left")
+        .withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+        .drop("_hash")
+    )
+
+
+def salt_rows(rows: DataFrame, keys: Sequence[str], hot: DataFrame, spread: Column | None = None) -> DataFrame:
+    """`_salt`: one of a hot key's parts, anything for a NULL key, 0 for other keys."""
+    spread = F.monotonically_increasing_id() if spread is None else spread
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return (
+        _with_parts(rows, keys, hot)
+        .withColumn("_salt", F.pmod(spread, F.when(any_null, F.lit(HOT_ROWS)).otherwise(F.col("_parts"))).cast("int"))
+        .drop("_parts")
+    )
 
 
 def spread_left_join(
@@ -30,9 +58,9 @@ def spread_left_join(
     hot: DataFrame | None = None,
     spread: Column | None = None,
 ) -> DataFrame:
-    """Left join; rows of hot and of NULL keys go to SALTS tasks instead of one.
+    """Left join; the rows of a hot key go to many tasks instead of one, as do rows with a NULL key.
 
-    The matching rows of `side` are repeated once per salt for hot keys only; a
+    The matching rows of `side` are repeated once per part, for hot keys only; a
     NULL key matches nothing, so nothing is repeated for it. `hot` may come from
     a cheaper scan of the same keys. `spread` differs from row to row; by default
     it is the row's place in its input partition, which is stable for rows read
@@ -43,29 +71,12 @@ def spread_left_join(
     kinds = [[df.schema[k].dataType for k in keys] for df in (rows, side, hot)]
     if not kinds[0] == kinds[1] == kinds[2]:
         raise TypeError(f"the types of {keys} differ: {kinds}")
-    key_hash = F.xxhash64(*keys)
-    # Only hashes are broadcast: HOT_KEYS rows of 8 bytes. A key that shares a hot
-    # key's hash is salted too, on both sides.
-    hashes = F.broadcast(hot.select(key_hash.alias("_hash"), F.lit(True).alias("_hot")).distinct())
-    spread = F.monotonically_increasing_id() if spread is None else spread
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    salted = (
-        rows.withColumn("_hash", key_hash)
-        .join(hashes, "_hash", "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_hot") | any_null, F.pmod(spread, F.lit(SALTS)).cast("int")).otherwise(0),
-        )
-        .drop("_hash", "_hot")
-    )
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     repeated = (
-        side.withColumn("_hash", key_hash)
-        .join(hashes, "_hash", "left")
-        .withColumn("_salt", F.explode(salts))
-        .drop("_hash", "_hot")
+        _with_parts(side, keys, hot)
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+        .drop("_parts")
     )
-    return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")
+    return salt_rows(rows, keys, hot, spread).join(repeated, [*keys, "_salt"], "left").drop("_salt")
 
 
 def lookup_id(

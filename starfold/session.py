@@ -8,11 +8,23 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "starfold", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the jobs are written for; `conf` is added last."""
+# Shuffle data per task. Adaptive execution joins smaller partitions, but does not
+# split larger ones, so the number of partitions has to fit the largest shuffle.
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def build_session(
+    app_name: str = "starfold", master: str | None = None, largest_shuffle_bytes: int = 0, **conf: str
+) -> SparkSession:
+    """A session with the settings the jobs are written for; `conf` is added last.
+
+    `largest_shuffle_bytes` is about the size of the largest fact's staged columns.
+    """
+    partitions = max(200, -(-largest_shuffle_bytes // SHUFFLE_PARTITION_BYTES))
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

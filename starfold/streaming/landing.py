@@ -18,12 +18,14 @@ def load_landed_pages(
     key: str,
     checkpoint: str,
     schema: T.StructType = MILESTONE_SCHEMA,
+    whole_lists: bool = True,
     files_per_batch: int = 10_000,
 ) -> StreamingQuery:
     """Upsert every page file not yet seen; call `awaitTermination` on the result.
 
     The checkpoint records which files were loaded. A batch that is repeated after
-    a failure upserts the same rows again, which changes nothing.
+    a failure upserts the same rows again, which changes nothing. `whole_lists` is
+    as in `read_pages`.
     """
 
     def take(batch: DataFrame, number: int) -> None:
@@ -31,7 +33,7 @@ def load_landed_pages(
 
     pages = (
         spark.readStream.schema(schema)
-        .option("multiLine", "true")
+        .option("multiLine", whole_lists)
         .option("mode", "FAILFAST")
         .option("maxFilesPerTrigger", files_per_batch)
         .json(landing)

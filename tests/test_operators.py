@@ -1,4 +1,3 @@
-import itertools
 import random
 
 import pytest
@@ -8,7 +7,7 @@ from pyspark.sql import functions as F
 from starfold.checks.oracles import _CTES
 from starfold.operators.calendar import calendar
 from starfold.operators.dedup import append_distinct, keep_first
-from starfold.operators.lookup import SALTS, hot_keys, insert_if_absent, lookup_id, spread_left_join
+from starfold.operators.lookup import hot_keys, insert_if_absent, lookup_id, salt_rows, spread_left_join
 from starfold.operators.surrogate import assign_ids
 
 
@@ -65,12 +64,12 @@ def test_spread_join_on_two_keys(spark, as_rows):
     assert as_rows(spread_left_join(left, right, ["k", "j"], hot), "k", "j", "v", "w") == expected
 
 
-@pytest.mark.parametrize("min_rows", [1, 500, 10**9])
-def test_spread_join_equals_plain_join(spark, as_rows, min_rows):
+@pytest.mark.parametrize("part_rows", [1, 500, 10**9])
+def test_spread_join_equals_plain_join(spark, as_rows, part_rows):
     left = skewed(spark)
     right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
     expected = as_rows(left.join(right, "k", "left"), "k", "v", "w")
-    hot = hot_keys(left, ["k"], min_rows)
+    hot = hot_keys(left, ["k"], part_rows)
     assert as_rows(spread_left_join(left, right, ["k"], hot), "k", "v", "w") == expected
     doubled = right.union(right)
     assert as_rows(spread_left_join(left, doubled, ["k"], hot), "k", "v", "w") == as_rows(
@@ -78,13 +77,12 @@ def test_spread_join_equals_plain_join(spark, as_rows, min_rows):
     )
 
 
-def test_spread_join_splits_hot_and_missing_keys(spark, monkeypatch):
-    monkeypatch.setattr("starfold.operators.lookup.F.broadcast", lambda df: df)
+def test_hot_and_missing_keys_are_split(spark):
     left = skewed(spark)
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
-    per_salt = left.withColumn("s", spread).groupBy("k", "s").count()
-    largest = per_salt.groupBy().agg(F.max("count")).first()[0]
-    assert largest <= 2 * 1100 / SALTS + 4
+    salted = salt_rows(left, ["k"], hot_keys(left, ["k"], 100))
+    largest = {r.k: r.n for r in salted.groupBy("k", "_salt").count().groupBy("k").agg(F.max("count").alias("n")).collect()}
+    assert largest[1] <= 120 and largest[None] == 1
+    assert salted.filter("k > 1 and _salt > 0").count() == 0
 
 
 def test_spread_join_refuses_keys_of_different_types(spark):
