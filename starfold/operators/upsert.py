@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starfold.operators.dedup import keep_first
 from starfold.operators.surrogate import assign_ids
-from starfold.session import new_folder
+from starfold.session import empty_folder, new_folder
 from starfold.sources.store import Store, Version
 
 
@@ -135,12 +135,17 @@ def load(
             raise ValueError(f"{table} has no columns {sorted(unknown)}")
         kept, fresh = merge(target, batch, keys, key_bytes, null_safe)
         last_id = (target.agg(F.max(surrogate)).first()[0] or 0) if surrogate else 0
-    if surrogate:
-        fresh = assign_ids(fresh, keys, surrogate, new_folder(spark, f"new-{table}"), last_id)
-    if stamped:
-        fresh = fresh.withColumn("created_at", F.current_timestamp())
-    result = fresh if kept is None else kept.unionByName(fresh, allowMissingColumns=True)
-    return store.commit(table, result)
+    scratch = new_folder(spark, f"new-{table}")
+    try:
+        if surrogate:
+            fresh = assign_ids(fresh, keys, surrogate, scratch, last_id)
+        if stamped:
+            fresh = fresh.withColumn("created_at", F.current_timestamp())
+        result = fresh if kept is None else kept.unionByName(fresh, allowMissingColumns=True)
+        return store.commit(table, result)
+    finally:
+        if surrogate:
+            empty_folder(spark, scratch)
 
 
 def load_extracted(staging: Store, table: str, rows: DataFrame, key: str, path: str) -> bool:

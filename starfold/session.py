@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 
 # Shuffle data per task. Adaptive execution joins smaller partitions, but does not
@@ -51,3 +51,8 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def empty_folder(spark: SparkSession, path: str) -> None:
+    """Free the space of a table that is no longer needed; reading it fails after that."""
+    spark.range(0, 0, 1, 1).select(F.lit("").alias("value")).write.mode("overwrite").text(path)

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from starfold.session import empty_folder
+
 _COMMIT = "version long, rows long, committed_at timestamp"
 
 
@@ -22,11 +24,13 @@ class Store:
 
     A store keeps to the version of a table it saw first, and to its own commits
     after that, so that one run reads one state. Open a new store to see later ones.
+    The newest `keep` versions stay readable, older ones are emptied.
     """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, keep: int = 3) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep = keep
         self._seen: dict[str, Version] = {}
 
     def _log(self, table: str) -> str:
@@ -74,6 +78,8 @@ class Store:
             .write.mode("append")
             .json(self._log(table))
         )
+        if number > self.keep:
+            empty_folder(self.spark, self._path(table, number - self.keep))
         self._seen[table] = Version(number, rows, path)
         return self._seen[table]
 
