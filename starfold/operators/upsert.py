@@ -15,6 +15,8 @@ from starfold.sources.store import Store, Version
 
 # Keys of a batch are sent to every task only while all of them together are below this size.
 BROADCAST_BYTES = 256 * 1024 * 1024
+# ... and while the target has at least this many rows per batch row; a smaller one is cheap to shuffle.
+BROADCAST_RATIO = 10
 # Bytes a key takes in a broadcast table besides its text.
 _KEY_OVERHEAD = 64
 
@@ -33,8 +35,8 @@ def duplicate_keys(batch: DataFrame, keys: Sequence[str], null_safe: bool = Fals
     return rows.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
 
 
-def _checked_key_bytes(batch: DataFrame, keys: Sequence[str], null_safe: bool) -> int:
-    """An upper bound of the size of all keys of the batch; raises when a key is repeated."""
+def _checked_size(batch: DataFrame, keys: Sequence[str], null_safe: bool) -> tuple[int, int]:
+    """(rows of the batch, upper bound of the bytes of all its keys); raises when a key is repeated."""
     unkeyed = F.lit(False) if null_safe else _has_null(keys)
     per_key = batch.withColumn("_unkeyed", unkeyed).groupBy(*keys, "_unkeyed").agg(F.count("*").alias("n"))
     width = reduce(
@@ -48,7 +50,7 @@ def _checked_key_bytes(batch: DataFrame, keys: Sequence[str], null_safe: bool) -
     if found.n_repeated:
         sample = [tuple(row) for row in duplicate_keys(batch, keys, null_safe).limit(5).collect()]
         raise DuplicateKeys(f"{found.n_repeated} keys are repeated, among them {sample}")
-    return found.n_rows * (found.widest + _KEY_OVERHEAD)
+    return found.n_rows, found.n_rows * (found.widest + _KEY_OVERHEAD)
 
 
 def _on(left: str, right: str, keys: Sequence[str], null_safe: bool) -> Column:
@@ -124,7 +126,7 @@ def load(
     scanned more than once, so pass one that is read from files.
     """
     spark = batch.sparkSession
-    key_bytes = _checked_key_bytes(batch, keys, null_safe)
+    n_rows, key_bytes = _checked_size(batch, keys, null_safe)
     before = store.current(table)
     if before is None:
         kept, fresh, last_id = None, batch, 0
@@ -133,7 +135,8 @@ def load(
         unknown = set(batch.columns) - set(target.columns)
         if unknown:
             raise ValueError(f"{table} has no columns {sorted(unknown)}")
-        kept, fresh = merge(target, batch, keys, key_bytes, null_safe)
+        small = before.rows >= BROADCAST_RATIO * n_rows
+        kept, fresh = merge(target, batch, keys, key_bytes if small else None, null_safe)
         last_id = (target.agg(F.max(surrogate)).first()[0] or 0) if surrogate else 0
     scratch = new_folder(spark, f"new-{table}")
     try:

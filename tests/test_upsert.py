@@ -14,6 +14,7 @@ def stored(store, as_rows, *columns):
 
 @pytest.fixture(params=["few rows", "many rows"])
 def size(request, monkeypatch):
+    monkeypatch.setattr(upsert, "BROADCAST_RATIO", 0)
     if request.param == "many rows":
         monkeypatch.setattr(upsert, "BROADCAST_BYTES", -1)
     return request.param
