@@ -101,12 +101,11 @@ def _built(name: str) -> Query:
         warehouse = _with(spark, sf_dir, *dimensions)
         return build(spec, staged(spark, sf_dir, spec.staged), warehouse.dimensions_of(spec))
 
-    run.__name__ = name
     return run
 
 
 for _name in BY_NAME:
-    query(_built(_name))
+    query_as(_name)(_built(_name))
 
 
 @query
@@ -156,14 +155,12 @@ def parquet_partition_roundtrip(spark, sf_dir):
 @query
 def missing_slice_skip(spark, sf_dir):
     path = _written_slices(spark, sf_dir)
-    days = [r.day for r in staged(spark, sf_dir, "milestones").agg(F.max(F.substring("created_at", 1, 10)).alias("day")).collect()]
+    newest = staged(spark, sf_dir, "milestones").agg(F.max(F.substring("created_at", 1, 10))).first()[0]
     parts = []
-    for day in (*days, ABSENT_DAY):
+    for day in (newest, ABSENT_DAY):
         rows = read_slice(spark, path, day)
         status = runlog.SKIP if rows is None else runlog.SUCCESS
-        counted = spark.range(1).select(F.lit(0).cast("bigint").alias("n_rows")) if rows is None else rows.agg(
-            F.count("*").alias("n_rows")
-        )
+        counted = (spark.range(0) if rows is None else rows).agg(F.count("*").alias("n_rows"))
         parts.append(counted.select(F.lit(day).alias("ds"), F.lit(status).alias("status"), "n_rows"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -339,12 +336,22 @@ def lookup_surrogate(spark, sf_dir):
 @query
 def role_playing_lookup(spark, sf_dir):
     company = _with(spark, sf_dir, "dim_company").dimension("dim_company")
-    rows = staged(spark, sf_dir, "acquisition").select("acquisition_id", "acquiring_object_id", "acquired_object_id")
+    # The place in the files is taken before the first join, which may shuffle.
+    rows = staged(spark, sf_dir, "acquisition").select(
+        "acquisition_id", "acquiring_object_id", "acquired_object_id", F.monotonically_increasing_id().alias("_spread")
+    )
     for role in ("acquiring", "acquired"):
         rows = lookup_id(
-            rows, company.rows, company.n_rows, f"{role}_object_id", "company_nk", "company_id", f"{role}_company_id"
+            rows,
+            company.rows,
+            company.n_rows,
+            f"{role}_object_id",
+            "company_nk",
+            "company_id",
+            f"{role}_company_id",
+            spread=F.col("_spread"),
         )
-    return rows
+    return rows.drop("_spread")
 
 
 @query

@@ -33,14 +33,18 @@ class Dimension:
 def _build(
     spec: TableSpec, staged: DataFrame, dimensions: Mapping[str, Dimension] | None = None
 ) -> DataFrame:
-    """The table's rows and, where they went through a shuffle, `_spread` that differs from row to row."""
+    """The table's rows, and `_spread` that differs from row to row.
+
+    `_spread` is a hash of the key once rows are one per key, else the row's place
+    in the staged files. It is set before any shuffle, so a repeated task finds the same.
+    """
     rows = staged.select(*spec.staged_columns)
-    extra = [F.col(k.source).alias(k.nk) for k in spec.lookups]
+    spread = F.monotonically_increasing_id()
     if spec.one_row_per:
         rows = keep_first(rows, [spec.one_row_per])
-        extra.append(F.xxhash64(spec.one_row_per).alias("_spread"))
-    rows = rows.select(*[f.column() for f in spec.fields], *extra)
-    spread = F.col("_spread") if spec.one_row_per else None
+        spread = F.xxhash64(spec.one_row_per)
+    keys = [F.col(k.source).alias(k.nk) for k in spec.lookups]
+    rows = rows.select(*[f.column() for f in spec.fields], *keys, spread.alias("_spread"))
     for lookup in spec.lookups:
         nk, dimension_id = DIMENSION_KEYS[lookup.dimension]
         dimension = dimensions[lookup.dimension]
@@ -48,7 +52,7 @@ def _build(
         if dimension.n_rows is None or dimension.n_rows > BROADCAST_ROWS:
             # Counted on the staged column alone, before the wider steps above.
             hot = hot_keys(staged.select(F.col(lookup.source).alias(lookup.nk)), [lookup.nk])
-        rows = lookup_id(rows, dimension.rows, dimension.n_rows, lookup.nk, nk, dimension_id, lookup.as_id, hot, spread)
+        rows = lookup_id(rows, dimension.rows, dimension.n_rows, lookup.nk, nk, dimension_id, lookup.as_id, hot, F.col("_spread"))
     return rows
 
 
