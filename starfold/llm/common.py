@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -55,6 +57,18 @@ def steps(batches: Iterator[pd.DataFrame], text: str, chars: int = STEP_CHARS) -
             first = last
 
 
+def text_steps(texts: list[str], chars: int = STEP_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about `chars` code points each."""
+    first = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= chars:
+            yield first, i + 1
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that scatters them."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -104,3 +118,24 @@ def hashed_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
     hashes = mix(span_sums(buffer.astype(np.uint64) + np.uint64(1), starts, ends) + (ends - starts).astype(np.uint64))
     return hashes, np.searchsorted(starts, text_starts).astype(np.int64)
+
+
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+def letter_words(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """The lower-case runs of letters of all texts: codes, the distinct words, and where each text's codes begin."""
+    found = [_WORD.findall(t.lower()) for t in texts]
+    begins = np.cumsum([0, *map(len, found)])
+    codes, distinct = pd.factorize(np.array(list(chain.from_iterable(found)), dtype=object))
+    return codes, list(distinct), begins
+
+
+def word_grams(words: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the n-grams of each word between `<` and `>`, and where each word's begin; short words have none."""
+    points = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    counts = np.maximum(sizes - n + 1, 0)
+    begins = np.concatenate(([0], np.cumsum(counts)))
+    starts = np.repeat(np.cumsum(sizes) - sizes, counts) + np.arange(begins[-1]) - np.repeat(begins[:-1], counts)
+    return mix(span_sums(points + np.uint64(1), starts, starts + n) + np.uint64(n)), begins
