@@ -3,7 +3,9 @@
 import pytest
 from compare import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from starfold.checks.oracles import ORACLES
+from starfold.checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,20 +16,20 @@ def con():
 
 
 def test_names():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"run_log_summary"}
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLES) == {"run_log_summary"}
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [node for node in ("CartesianProduct", "NestedLoop", "EvalPython") if node in plan]
-    assert differences(df, con, oracle_sql()[name]) is None
+    assert differences(df, con, ORACLES[name]) is None
 
 
 def test_run_log_of_a_whole_load(spark):
-    found = {(r.step, r.process, r.status): r.n_runs for r in queries()["run_log_summary"](spark, SF).collect()}
+    found = {(r.step, r.process, r.status): r.n_runs for r in QUERIES["run_log_summary"](spark, SF).collect()}
     assert found == {("warehouse", p, "success"): 8 for p in ("transform", "validation", "load")}
 
 
