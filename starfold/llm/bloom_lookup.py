@@ -19,7 +19,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from starfold.llm.common import STEP_CHARS, mix
+from starfold.llm.common import STEP_CHARS, bounded, mix
 from starfold.llm.successors import NULL_KEY, block_of, id_blocks, next_in_blocks
 
 # Cells of a fingerprint, in three parts of which each digest has one cell, and how much larger each retry is.
@@ -247,11 +247,11 @@ def fingerprint_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_KEY)).alias("key")
     rows = docs.select(key, F.col(text_col).alias("text"))
     bounds, least = id_blocks(rows.select("key"), "key")
-    sent = rows.mapInPandas(_packed(bounds, least), "block int, place int, key long, hash long, packed binary")
+    sent = rows.mapInPandas(bounded(_packed(bounds, least)), "block int, place int, key long, hash long, packed binary")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = sent.repartition(n, "block").sortWithinPartitions("block", "place", "key", "hash")
     schema = (
         "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"
     )
-    return ordered.mapInPandas(_by_block, schema).withColumnRenamed("id", id_col)
+    return ordered.mapInPandas(bounded(_by_block), schema).withColumnRenamed("id", id_col)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starfold.session import new_folder
@@ -15,7 +18,9 @@ from starfold.session import new_folder
 # Rows of one long column that may be broadcast (16 MB); counted before each broadcast, else the join shuffles.
 BROADCAST_IDS = 2_000_000
 # Code points that one step of a numpy kernel works on; a longer text is a step of its own.
-STEP_CHARS = 1_000_000
+STEP_CHARS = 500_000
+# Rows of an Arrow batch; by the default of 10,000 both ends of the pipe hold tens of megabytes of text for each task.
+BATCH_ROWS = 1_000
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, dtype=bool)
@@ -26,6 +31,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def bounded(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run` over batches of texts, with little memory held on either side of the pipe.
+
+    Arrow batches of the session become small, unless it has a setting of its own. After a task its Python process,
+    which stays for later tasks, gives freed memory back.
+    """
+    session, key = SparkSession.active(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if session.conf.get(key) == "10000":
+        session.conf.set(key, str(BATCH_ROWS))
+
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """`df` written to the shared folder and read from there: its lineage ends, and a lost executor takes nothing."""
     path = new_folder(df.sparkSession, label)
@@ -86,7 +112,7 @@ class Powers:
         if len(self.up) < n:
             inverse = pow(self.base, -1, 1 << 64)
             for name, base in (("up", self.base), ("down", inverse)):
-                steps_ = np.full(max(n, 1 << 20), base, np.uint64)
+                steps_ = np.full(max(n, 1 << 19), base, np.uint64)
                 steps_[0] = 1
                 setattr(self, name, np.cumprod(steps_))
         return self.up[:n], self.down[:n]

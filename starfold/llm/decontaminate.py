@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
+from starfold.llm.common import bounded
+
 # Edits allowed for each code point of an item.
 ERRORS = 0.1
 # Code points of the items that one pass over the documents looks for; more items take more passes.
@@ -195,7 +197,7 @@ def contaminated(
                 found = [(i, *hit) for i, t in zip(batch["id"], batch["text"]) for hit in finder.find(t)]
                 yield pd.DataFrame(found, columns=["id", "item", "distance", "start", "end"])
 
-        hits = rows.mapInPandas(run, f"id {kind}, item {item_kind}, distance long, start long, end long")
+        hits = rows.mapInPandas(bounded(run), f"id {kind}, item {item_kind}, distance long, start long, end long")
         out = hits if out is None else out.union(hits)
     return out.withColumnRenamed("id", id_col).withColumnRenamed("item", item_col)
 
@@ -214,7 +216,7 @@ def without_items(
                 clean = [not finder.find(t or "") for t in batch.column(place).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(bounded(run), docs.schema)
     return docs
 
 

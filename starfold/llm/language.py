@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from starfold.llm.common import letter_words, text_steps, word_grams
+from starfold.llm.common import bounded, letter_words, text_steps, word_grams
 
 # Bounds of what a model is fitted on and how large it may get.
 SAMPLE_ROWS = 6_000
@@ -119,4 +119,4 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
                 )
 
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *added]))
+    return rows.mapInArrow(bounded(run), T.StructType([*rows.schema.fields, *added]))

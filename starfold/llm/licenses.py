@@ -10,6 +10,8 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from starfold.llm.common import bounded
+
 # The wording of public license notices.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -145,4 +147,4 @@ def scan_licenses(docs: DataFrame, id_col="doc_id", text_col="text", templates:
         f"id {kind}, start long, end long, license string, verdict string, plain_bytes long, saved_bytes long, "
         "differences string"
     )
-    return rows.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    return rows.mapInPandas(bounded(run), schema).withColumnRenamed("id", id_col)

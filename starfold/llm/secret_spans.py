@@ -12,6 +12,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from starfold.llm.common import bounded
+
 # The patterns and least lengths of the base kinds, and the order of kinds.
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
@@ -186,7 +188,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             })
 
     schema = f"id {kind}, spans array<struct<kind:string,start:long,end:long>>, redacted string"
-    return rows.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    return rows.mapInPandas(bounded(run), schema).withColumnRenamed("id", id_col)
 
 
 def scan_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -225,4 +227,4 @@ def redacted(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars")
                 columns[size_at] = pa.array(sizes, batch.schema.field(size_at).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(bounded(run), docs.schema)

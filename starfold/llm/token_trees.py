@@ -17,6 +17,8 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
+from starfold.llm.common import bounded
+
 # Fixed value: how the byte-level vocabularies split a text before merging.
 SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -214,4 +216,4 @@ def count_edited(docs: DataFrame, edits=spread_edits, id_col="doc_id", text_col=
             yield pd.DataFrame(out, columns=["id", *names])
 
     schema = f"id {kind}, " + ", ".join(f"{n} long" for n in names)
-    return rows.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    return rows.mapInPandas(bounded(run), schema).withColumnRenamed("id", id_col)

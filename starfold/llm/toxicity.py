@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from starfold.llm.common import letter_words, mix, span_sums, steps, word_grams
+from starfold.llm.common import bounded, letter_words, mix, span_sums, steps, word_grams
 
 # Bounds of what a model is fitted on: labelled rows, and code points of their texts.
 SAMPLE_ROWS = 4_000
@@ -200,4 +200,4 @@ def rate(docs: DataFrame, model: Model | None, id_col="doc_id", text_col="text",
             yield pd.DataFrame({"id": step["id"], "score": found, "predicted": (found >= threshold).astype("int32")})
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"id {kind}, score double, predicted int").withColumnRenamed("id", id_col)
+    return rows.mapInPandas(bounded(run), f"id {kind}, score double, predicted int").withColumnRenamed("id", id_col)
