@@ -27,6 +27,8 @@ SIZES = (3, 4)
 # Buckets of fewer training texts than this keep a zero vector: they could only learn those texts by heart.
 LEAST_TEXTS = 8
 BATCH = 512
+# A phase of the training makes so many steps at least, in as many passes as that takes.
+LEAST_STEPS = 300
 THRESHOLD = 0.7
 
 
@@ -137,9 +139,10 @@ def train(texts: list[str], labels: list[int], epochs: int = 2, rate: float = 0.
     entries, owner = _expand(ends, of_text % len(distinct))
     in_texts = np.unique((of_text // len(distinct))[owner] * BUCKETS + buckets[entries]) % BUCKETS
     trainer = _Trainer(buckets, ends, np.bincount(in_texts, minlength=BUCKETS) >= LEAST_TEXTS, seed)
-    for _ in range(epochs):
+    passes = max(epochs, -(-LEAST_STEPS // max(1, len(text) // BATCH)))
+    for _ in range(passes):
         trainer.epoch(words, windows, np.arange(len(text)), toxic[text], rate)
-    for _ in range(epochs):
+    for _ in range(passes):
         logits = _window_logits(trainer.model(), distinct, words, windows)
         worst = np.full(len(texts), -np.inf)
         np.maximum.at(worst, text, logits)
