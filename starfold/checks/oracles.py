@@ -646,9 +646,10 @@ oracle(
     """with m as (
       select distinct funding_round_nk r, investor_company_id i from fact_investment_round_participation
       where funding_round_nk is not null and investor_company_id is not null),
-    busiest as (select i from m group by i order by count(*) desc, i limit 10)
-    select a.i investor_company_id, b.i partner_company_id, count(*) shared_rounds
-    from m a join m b on a.r = b.r and a.i <> b.i where a.i in (select i from busiest) group by all""",
+    sized as (select r, count(*) size from m group by r)
+    select i investor_company_id, count(*) n_rounds, count(*) filter (where size > 1) shared_rounds,
+      cast(sum(size - 1) as bigint) partner_seats
+    from m join sized using (r) group by i""",
 )
 oracle(
     "round_to_milestone",
@@ -742,6 +743,5 @@ oracle(
     """with counted as (
       select region, count(*) n_milestones, count(distinct company_id) n_companies
       from fact_milestones join dim_company using (company_id) group by region)
-    select *, cast(rank() over (order by n_milestones desc) as int) place from counted
-    order by n_milestones desc, region limit 20""",
+    select *, cast(rank() over (order by n_milestones desc) as int) place from counted""",
 )

@@ -397,7 +397,8 @@ def fk_violations(spark, sf_dir):
         key_of_date(F.add_months(F.col("l_shipdate").cast("date"), 1248)).alias("shipped_at"),
     )
     company = quality.broken_references(lines, "company_id", warehouse.table("dim_company"), "company_id")
-    days = quality.broken_references(lines, "shipped_at", warehouse.table("dim_date"), "date_id", small=True)
+    calendar = warehouse.table("dim_date")
+    days = quality.broken_references(lines, "shipped_at", calendar, "date_id", calendar.count())
     return company.unionByName(days)
 
 

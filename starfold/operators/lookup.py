@@ -10,19 +10,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 # A dimension side is an id (8 bytes) and a natural key of at most 255 characters
 # (1,020 bytes; longer ones are not loaded), so this many rows stay near 256 MB.
 BROADCAST_ROWS = 250_000
-# A key with more rows than this is split into parts of about so many rows.
+# A key with more rows than this is split into parts of about so many rows. There is
+# less than one such key in a million rows; each is broadcast as a hash and a number
+# (12 bytes), so the broadcast has less than 12 bytes for a million rows.
 HOT_ROWS = 1_000_000
-# At most so many keys are split, each broadcast as a hash and a number (12 bytes).
-# A key outside the list has fewer rows than each of them, so fewer than HOT_ROWS,
-# or less than 1/500,000 of all rows.
-HOT_KEYS = 500_000
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], part_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than `part_rows` rows, and `_parts`, the parts to split each into."""
     counts = rows.dropna(subset=list(keys)).groupBy(*keys).count().filter(F.col("count") > part_rows)
-    most = counts.orderBy(F.desc("count")).limit(HOT_KEYS)
-    return most.select(*keys, F.ceil(F.col("count") / part_rows).cast("int").alias("_parts"))
+    return counts.select(*keys, F.ceil(F.col("count") / part_rows).cast("int").alias("_parts"))
 
 
 def _with_parts(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starfold.functions.dates import UNKNOWN_DATE_KEY
+from starfold.operators.lookup import BROADCAST_ROWS
 
 # Keys listed in one report row. Blocks follow the row order of the written files.
 _BLOCK_BITS = 13
@@ -96,15 +97,18 @@ def constraint_violations(
     return result
 
 
-def broken_references(df: DataFrame, column: str, dimension: DataFrame, dimension_key: str, small: bool = False) -> DataFrame:
+def broken_references(
+    df: DataFrame, column: str, dimension: DataFrame, dimension_key: str, dimension_rows: int | None = None
+) -> DataFrame:
     """(column_name, value, n_rows) for non-NULL values of `column` the dimension lacks.
 
-    Values are counted first, so the join sees each value once. `small` is for a
-    dimension of fixed size, the calendar.
+    Values are counted first, so the join sees each value once. The dimension is
+    broadcast only when its counted rows are few enough.
     """
     values = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("bigint").alias("value")).agg(
         F.count("*").alias("n_rows")
     )
     known = dimension.select(F.col(dimension_key).cast("bigint").alias("value"))
-    missing = values.join(F.broadcast(known) if small else known, "value", "left_anti")
+    few = dimension_rows is not None and dimension_rows <= BROADCAST_ROWS
+    missing = values.join(F.broadcast(known) if few else known, "value", "left_anti")
     return missing.select(F.lit(column).alias("column_name"), "value", "n_rows")

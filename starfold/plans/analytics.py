@@ -76,34 +76,45 @@ def ipo_valuation_by_year(ipos: DataFrame, years: int = 5) -> DataFrame:
     )
 
 
-def co_investors(participation: DataFrame, k: int = 10) -> DataFrame:
-    """For the `k` investors in most rounds, every partner and the rounds they share.
+def _members(participation: DataFrame) -> DataFrame:
+    """One row for each investor of each round."""
+    return participation.select("funding_round_nk", "investor_company_id").dropna().distinct()
 
-    A round carries at most `k` of these investors, so each participation yields
-    at most `k` rows; pairs of all investors of a round are never formed.
+
+def co_investors(participation: DataFrame) -> DataFrame:
+    """For every investor: rounds, rounds shared with others, and seats of others in those rounds.
+
+    Seats are a round's investors minus one, so no pairs are formed. `partners_of` lists the partners themselves.
     """
-    members = (
-        participation.select("funding_round_nk", F.col("investor_company_id").alias("partner_company_id"))
-        .dropna()
-        .distinct()
+    members = _members(participation)
+    sizes = members.groupBy("funding_round_nk").agg(F.count("*").alias("size"))
+    attached = spread_left_join(
+        members,
+        sizes,
+        ["funding_round_nk"],
+        hot=hot_keys(participation, ["funding_round_nk"]),
+        spread=F.xxhash64("investor_company_id"),
     )
-    busiest = (
-        members.groupBy(F.col("partner_company_id").alias("investor_company_id"))
-        .count()
-        .orderBy(F.desc("count"), "investor_company_id")
-        .limit(k)
-        .select("investor_company_id")
+    return attached.groupBy("investor_company_id").agg(
+        F.count("*").alias("n_rounds"),
+        F.count_if(F.col("size") > 1).alias("shared_rounds"),
+        F.sum(F.col("size") - 1).alias("partner_seats"),
     )
-    # k rows are broadcast; a round's list holds at most k ids.
+
+
+def partners_of(participation: DataFrame, investor_company_ids: list[int]) -> DataFrame:
+    """Every partner of the investors that the caller names, and the rounds they share.
+
+    A round carries at most as many of these investors as are named, so each participation yields at most so many rows.
+    """
+    members = _members(participation)
     focus = (
-        participation.select("funding_round_nk", "investor_company_id")
-        .join(F.broadcast(busiest), "investor_company_id")
-        .filter("funding_round_nk is not null")
+        members.filter(F.col("investor_company_id").isin(investor_company_ids))
         .groupBy("funding_round_nk")
         .agg(F.collect_set("investor_company_id").alias("focus"))
     )
     attached = spread_left_join(
-        members,
+        members.withColumnRenamed("investor_company_id", "partner_company_id"),
         focus,
         ["funding_round_nk"],
         hot=hot_keys(participation, ["funding_round_nk"]),
@@ -344,17 +355,15 @@ def career_contribution(relationships: DataFrame) -> DataFrame:
     )
 
 
-def milestones_by_region(milestones: DataFrame, companies: DataFrame, k: int = 20) -> DataFrame:
-    """The `k` regions with most milestones, ranked; equal counts share a rank."""
+def milestones_by_region(milestones: DataFrame, companies: DataFrame) -> DataFrame:
+    """All regions with milestones, ranked by their number; equal counts share a rank."""
     per_company = (
         milestones.filter("company_id is not null").groupBy("company_id").agg(F.count("*").alias("n"))
     )
-    top = (
+    by_region = (
         per_company.join(companies.select("company_id", "region"), "company_id")
         .groupBy("region")
         .agg(F.sum("n").alias("n_milestones"), F.count("*").alias("n_companies"))
-        .orderBy(F.desc("n_milestones"), "region")
-        .limit(k)
     )
-    # At most k rows are ranked.
-    return top.withColumn("place", F.rank().over(Window.orderBy(F.desc("n_milestones"))))
+    # One row per region is ranked.
+    return by_region.withColumn("place", F.rank().over(Window.orderBy(F.desc("n_milestones"))))

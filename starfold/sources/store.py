@@ -24,13 +24,12 @@ class Store:
 
     A store keeps to the version of a table it saw first, and to its own commits
     after that, so that one run reads one state. Open a new store to see later ones.
-    The newest `keep` versions stay readable, older ones are emptied.
+    Every version stays readable until `expire` is called.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keep: int = 3) -> None:
+    def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-        self.keep = keep
         self._seen: dict[str, Version] = {}
 
     def _log(self, table: str) -> str:
@@ -78,11 +77,18 @@ class Store:
             .write.mode("append")
             .json(self._log(table))
         )
-        if number > self.keep:
-            empty_folder(self.spark, self._path(table, number - self.keep))
         self._seen[table] = Version(number, rows, path)
         return self._seen[table]
 
+    def expire(self, table: str, older_than: int) -> None:
+        """Empty the versions before number `older_than`; call it when no store that reads them is left.
+
+        The current version is never emptied.
+        """
+        version = self.current(table)
+        for number in range(1, min(older_than, version.number if version else 1)):
+            empty_folder(self.spark, self._path(table, number))
+
     def tables(self, names: list[str]) -> DataFrame:
         """Name, version and rows of those of `names` that have been committed."""
         found = [(name, version) for name in names if (version := self.current(name))]

@@ -47,8 +47,8 @@ def test_constraint_violations(spark, as_rows):
 def test_broken_references(spark, as_rows):
     df = spark.createDataFrame([(1,), (2,), (2,), (None,), (3,)], "c int")
     dim = spark.createDataFrame([(1,), (3,)], "id long")
-    for small in (True, False):
-        assert as_rows(quality.broken_references(df, "c", dim, "id", small)) == [("c", 2, 2)]
+    for rows in (2, None, 10**9):
+        assert as_rows(quality.broken_references(df, "c", dim, "id", rows)) == [("c", 2, 2)]
 
 
 def test_valid_date_percent_is_anchored_at_the_start(spark, as_rows):

@@ -51,8 +51,13 @@ def test_co_investors(spark, as_rows):
             if a in members:
                 for b in members - {a}:
                     expected[a, b] += 1
-    got = {(r[0], r[1]): r[2] for r in analytics.co_investors(df, k=2).collect()}
+    got = {(r[0], r[1]): r[2] for r in analytics.partners_of(df, top).collect()}
     assert got == dict(expected)
+    seats = {
+        m: (rounds[m], sum(m in s and len(s) > 1 for s in of.values()), sum(len(s) - 1 for s in of.values() if m in s))
+        for m in rounds
+    }
+    assert {r[0]: tuple(r[1:]) for r in analytics.co_investors(df).collect()} == seats
 
 
 def test_round_to_milestone(spark):

@@ -76,10 +76,13 @@ def test_failed_write_leaves_the_former_version(spark, folder, as_rows):
 
 def test_scratch_and_old_versions_are_emptied(spark, folder, as_rows, monkeypatch):
     monkeypatch.setattr(upsert, "new_folder", lambda spark, label: f"{folder}/scratch")
-    store = Store(spark, f"{folder}/s", keep=2)
+    store = Store(spark, f"{folder}/s")
     for n in range(4):
         load(store, "t", spark.createDataFrame([(n, "a", "b")], SCHEMA), ["k"], "id")
     assert stored(store, as_rows, "id", "k") == [(1, 0), (2, 1), (3, 2), (4, 3)]
+    assert spark.read.parquet(f"{folder}/s/t/version=000002").count() == 2
+    store.expire("t", older_than=3)
+    assert stored(store, as_rows, "id", "k") == [(1, 0), (2, 1), (3, 2), (4, 3)]
     assert spark.read.parquet(f"{folder}/s/t/version=000003").count() == 3
     for gone in (f"{folder}/s/t/version=000002", f"{folder}/scratch"):
         with pytest.raises(Exception, match="(?i)parquet"):
