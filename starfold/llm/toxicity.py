@@ -15,11 +15,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from starfold.llm.common import bounded, letter_words, mix, span_sums, steps, word_grams
+from starfold.llm.common import bounded, letter_words, mix, span_sums, steps, text_steps, word_grams
 
 # Bounds of what a model is fitted on: labelled rows, and code points of their texts.
-SAMPLE_ROWS = 4_000
-SAMPLE_CHARS = 20_000_000
+SAMPLE_ROWS = 2_500
+SAMPLE_CHARS = 10_000_000
 WINDOW = 16
 BUCKETS = 1 << 15
 WIDTH = 4
@@ -27,6 +27,8 @@ SIZES = (3, 4)
 # Buckets of fewer training texts than this keep a zero vector: they could only learn those texts by heart.
 LEAST_TEXTS = 8
 BATCH = 512
+# Words whose n-grams are hashed at a time.
+STEP_WORDS = 20_000
 # A phase of the training makes so many steps at least, in as many passes as that takes.
 LEAST_STEPS = 300
 THRESHOLD = 0.7
@@ -39,6 +41,15 @@ class Model(NamedTuple):
 
 def word_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of each word's n-grams and of the word itself, and where each word's begin."""
+    found, counts = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+    for first in range(0, len(words), STEP_WORDS):
+        buckets, begins = _step_buckets(words[first : first + STEP_WORDS])
+        found.append(buckets)
+        counts.append(np.diff(begins))
+    return np.concatenate(found), np.cumsum(np.concatenate(counts))
+
+
+def _step_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     parts = []
     for n in SIZES:
         hashes, begins = word_grams(words, n)
@@ -50,7 +61,7 @@ def word_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     hashes, owner = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(owner, kind="stable")
     begins = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(words)))))
-    return (hashes[order] % np.uint64(BUCKETS)).astype(np.int64), begins
+    return (hashes[order] % np.uint64(BUCKETS)).astype(np.int32), begins
 
 
 def _expand(begins: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -123,22 +134,34 @@ def _window_logits(model: Model, distinct: list[str], words: np.ndarray, ends: n
     return (summed[ends[1:]] - summed[ends[:-1]]) / WINDOW + model.bias
 
 
+def _word_codes(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """As `letter_words`, but in steps, so that of all words only the distinct ones are in memory at once."""
+    known: dict[str, int] = {}
+    codes, sizes = [np.empty(0, np.int64)], [np.zeros(1, np.int64)]
+    for first, end in text_steps(texts):
+        part, distinct, begins = letter_words(texts[first:end])
+        places = np.array([known.setdefault(w, len(known)) for w in distinct], np.int64)
+        codes.append(places[part] if len(part) else np.empty(0, np.int64))
+        sizes.append(np.diff(begins))
+    return np.concatenate(codes), list(known), np.cumsum(np.concatenate(sizes))
+
+
 def train(texts: list[str], labels: list[int], epochs: int = 2, rate: float = 0.3, seed: int = 7) -> Model | None:
     """A model, or None if the texts have no words or only one label.
 
     In the first epochs every window has its text's label. After that the model itself picks what makes a text
     toxic: its worst window and those that it holds to be toxic; the other windows of toxic texts are left out.
     """
-    codes, distinct, begins = letter_words(texts)
+    codes, distinct, begins = _word_codes(texts)
     toxic = np.asarray(labels, np.int64)
     if not len(codes) or len(set(labels)) < 2:
         return None
     words, windows, text = _windows(codes, begins)
     buckets, ends = word_buckets(distinct)
-    of_text = np.unique(np.repeat(np.arange(len(texts)), np.diff(begins)) * len(distinct) + codes)
-    entries, owner = _expand(ends, of_text % len(distinct))
-    in_texts = np.unique((of_text // len(distinct))[owner] * BUCKETS + buckets[entries]) % BUCKETS
-    trainer = _Trainer(buckets, ends, np.bincount(in_texts, minlength=BUCKETS) >= LEAST_TEXTS, seed)
+    in_texts = np.zeros(BUCKETS, np.int64)
+    for first, end in zip(begins, begins[1:]):
+        in_texts[np.unique(buckets[_expand(ends, np.unique(codes[first:end]))[0]])] += 1
+    trainer = _Trainer(buckets, ends, in_texts >= LEAST_TEXTS, seed)
     passes = max(epochs, -(-LEAST_STEPS // max(1, len(text) // BATCH)))
     for _ in range(passes):
         trainer.epoch(words, windows, np.arange(len(text)), toxic[text], rate)
