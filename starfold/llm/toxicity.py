@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 from starfold.llm.common import bounded, letter_words, mix, span_sums, steps, text_steps, word_grams
 
 # Bounds of what a model is fitted on: labelled rows, and code points of their texts.
-SAMPLE_ROWS = 2_500
-SAMPLE_CHARS = 10_000_000
+SAMPLE_ROWS = 3_000
+SAMPLE_CHARS = 12_000_000
 WINDOW = 16
 BUCKETS = 1 << 15
 WIDTH = 4
