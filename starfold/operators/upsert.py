@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starfold.operators.dedup import keep_first
 from starfold.operators.surrogate import assign_ids
@@ -151,11 +151,22 @@ def load(
             empty_folder(spark, scratch)
 
 
-def load_extracted(staging: Store, table: str, rows: DataFrame, key: str, path: str) -> bool:
-    """Write the first row of each key to `path` and upsert from there; False when there is none."""
-    keep_first(rows, [key]).write.mode("overwrite").parquet(path)
-    batch = rows.sparkSession.read.parquet(path)
+def load_extracted(staging: Store, table: str, rows: DataFrame, key: str, path: str) -> tuple[bool, int]:
+    """Write the first row of each key to `path` and upsert from there.
+
+    Rows without a key are all written, beside the others, and not loaded. Returns whether there was a row to load,
+    and the number of rows without a key. The rows are read and shuffled once.
+    """
+    # Each row without a key is a group of its own, so none is folded into another and they spread over the tasks.
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).alias("_alone")
+    firsts = keep_first(rows.select("*", alone), [key, "_alone"]).drop("_alone")
+    keyed = F.col(key).isNotNull().cast("int")
+    firsts.withColumn("_keyed", keyed).write.mode("overwrite").partitionBy("_keyed").parquet(path)
+    schema = T.StructType([*firsts.schema.fields, T.StructField("_keyed", T.IntegerType())])
+    written = rows.sparkSession.read.schema(schema).parquet(path)
+    n_unkeyed = written.filter("_keyed = 0").count()
+    batch = written.filter("_keyed = 1").drop("_keyed")
     if batch.isEmpty():
-        return False
+        return False, n_unkeyed
     load(staging, table, batch, [key], stamped=False)
-    return True
+    return True, n_unkeyed

@@ -35,12 +35,13 @@ def stage(staging: Store, log: RunLog, table: str, rows: DataFrame | None, sourc
 
     With a run date only the rows created on the day before are taken. When a
     source repeats a key, as offices of one company do, the first row by its other
-    columns is kept. The source is read once, into files, and loaded from there.
+    columns is kept. Rows without a key are set aside and counted in the log. The
+    source is read once, into files, and loaded from there.
     """
 
-    def work() -> bool:
+    def work() -> tuple[bool, int]:
         if rows is None:
-            return False
+            return False, 0
         batch = rows if run_date is None else day_before(rows, "created_at", run_date)
         path = f"{staging.root}/_extracted/{table}/run={run_date or 'full'}"
         return load_extracted(staging, table, batch, STAGED_KEYS[table], path)
@@ -48,13 +49,14 @@ def stage(staging: Store, log: RunLog, table: str, rows: DataFrame | None, sourc
     _logged(log, "staging", "load", source, table, work)
 
 
-def _logged(log: RunLog, step: str, process: str, source: str, table: str, work: Callable[[], bool]) -> bool:
+def _logged(log: RunLog, step: str, process: str, source: str, table: str, work: Callable[[], tuple[bool, int]]) -> bool:
+    """Log how `work` ends; it returns whether there was anything to do and how many rows it set aside."""
     try:
-        done = work()
+        done, n_rejected = work()
     except Exception as error:
         log.add(step, process, runlog.FAILED, source, table, str(error))
         raise
-    log.add(step, process, runlog.SUCCESS if done else runlog.SKIP, source, table)
+    log.add(step, process, runlog.SUCCESS if done else runlog.SKIP, source, table, n_rejected=n_rejected)
     return done
 
 
@@ -118,27 +120,28 @@ class Warehouse:
     ) -> None:
         """Write built rows, report their missing values, load them.
 
-        Rows that break a declared rule are written to `rejected`, not loaded.
+        Rows that break a declared rule are written to `rejected` and counted in the log, not loaded.
         """
         path = self._slice(name, run_date)
         rejected = path.replace("/transformed/", "/rejected/")
 
-        def transform() -> bool:
+        def transform() -> tuple[bool, int]:
             rows.write.mode("overwrite").parquet(path)
-            return not self.spark.read.parquet(path).isEmpty()
+            return not self.spark.read.parquet(path).isEmpty(), 0
 
-        def validate() -> bool:
+        def validate() -> tuple[bool, int]:
             report = missing_report(self.spark.read.parquet(path), name, key, date_cols)
             write_json(report, path.replace("/transformed/", "/invalid/"))
-            return True
+            return True, 0
 
-        def insert() -> bool:
-            batch = self.spark.read.parquet(path)
+        def insert() -> tuple[bool, int]:
+            batch, n_rejected = self.spark.read.parquet(path), 0
             if date_cols or lengths:
                 batch, others = split_by_rules(batch, date_cols, lengths or {}, self.table("dim_date"))
                 others.write.mode("overwrite").parquet(rejected)
+                n_rejected = self.spark.read.parquet(rejected).count()
             load(self.store, name, batch, key, surrogate, null_safe)
-            return True
+            return True, n_rejected
 
         if _logged(self.log, "warehouse", "transform", "staging", name, transform):
             _logged(self.log, "warehouse", "validation", "transformed", name, validate)

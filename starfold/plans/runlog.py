@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 SUCCESS, SKIP, FAILED = "success", "skip", "failed"
 _SCHEMA = (
     "id string, step string, process string, status string, source string, table_name string, error_msg string, "
-    "etl_date timestamp, create_at timestamp"
+    "n_rejected long, etl_date timestamp, create_at timestamp"
 )
 
 
@@ -20,7 +20,7 @@ class RunLog:
         self.path = path
 
     def add(
-        self, step: str, process: str, status: str, source: str, table: str, error: str | None = None
+        self, step: str, process: str, status: str, source: str, table: str, error: str | None = None, n_rejected: int = 0
     ) -> None:
         if status not in (SUCCESS, SKIP, FAILED):
             raise ValueError(f"unknown status {status}")
@@ -32,6 +32,7 @@ class RunLog:
             F.lit(source).alias("source"),
             F.lit(table).alias("table_name"),
             F.lit(error).cast("string").alias("error_msg"),
+            F.lit(n_rejected).cast("long").alias("n_rejected"),
             F.date_trunc("second", F.current_timestamp()).alias("etl_date"),
             F.current_timestamp().alias("create_at"),
         )
@@ -42,5 +43,7 @@ class RunLog:
 
 
 def summary(log: DataFrame) -> DataFrame:
-    """(step, process, status, n_runs)."""
-    return log.groupBy("step", "process", "status").agg(F.count("*").alias("n_runs"))
+    """(step, process, status, n_runs, n_rejected); logs written before rejected rows were counted count none."""
+    return log.groupBy("step", "process", "status").agg(
+        F.count("*").alias("n_runs"), F.sum(F.coalesce("n_rejected", F.lit(0))).alias("n_rejected")
+    )

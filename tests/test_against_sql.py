@@ -16,8 +16,7 @@ def con():
 
 
 def test_names():
-    assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"run_log_summary"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -28,10 +27,5 @@ def test_query(spark, con, name):
     assert differences(df, con, ORACLES[name]) is None
 
 
-def test_run_log_of_a_whole_load(spark):
-    found = {(r.step, r.process, r.status): r.n_runs for r in QUERIES["run_log_summary"](spark, SF).collect()}
-    assert found == {("warehouse", p, "success"): 8 for p in ("transform", "validation", "load")}
-
-
 def test_entry(spark):
     assert entry(spark).count() == 10

@@ -6,6 +6,7 @@ from starfold.operators.upsert import DuplicateKeys
 from starfold.plans import runlog
 from starfold.plans.marts import Dimension, build, investee_mismatches, stage_database_rows
 from starfold.plans.refresh import Warehouse, stage
+from starfold.plans.runlog import RunLog
 from starfold.plans.specs import BY_NAME, PARTICIPATION, TableSpec
 from starfold.sources.store import Store
 
@@ -158,6 +159,19 @@ def test_too_long_texts_are_set_aside(spark, folder):
     warehouse.refresh_table(BY_NAME["dim_company"], frame(spark, "company", rows))
     assert [r.company_nk for r in warehouse.table("dim_company").collect()] == ["c:1"]
     assert spark.read.parquet(f"{folder}/rejected/dim_company/run=full").count() == 2
+    assert [r.n_rejected for r in warehouse.log.read().filter("process = 'load'").collect()] == [2]
+
+
+def test_rows_without_a_key_are_set_aside_and_counted(spark, folder):
+    staging, log = Store(spark, f"{folder}/staging"), RunLog(spark, f"{folder}/log")
+    rows = frame(spark, "funds", [dict(fund_id="1"), dict(fund_id="1"), dict(name="a"), dict(name="a"), dict(name="b")])
+    stage(staging, log, "funds", rows, "source")
+    assert [r.fund_id for r in staging.read("funds").collect()] == ["1"]
+    aside = spark.read.parquet(f"{staging.root}/_extracted/funds/run=full").filter("_keyed = 0")
+    assert sorted(r.name for r in aside.collect()) == ["a", "a", "b"]
+    stage(staging, log, "funds", rows.filter("fund_id is null"), "source")
+    found = {(r.status, r.n_rejected) for r in log.read().collect()}
+    assert found == {("success", 3), ("skip", 3)}
 
 
 def test_nothing_new_is_a_skip_and_a_failure_is_logged(spark, folder, as_rows):
@@ -173,12 +187,12 @@ def test_nothing_new_is_a_skip_and_a_failure_is_logged(spark, folder, as_rows):
     with pytest.raises(DuplicateKeys):
         warehouse.refresh_table(BY_NAME["fact_acquisition"], frame(spark, "acquisition", twice))
     assert as_rows(runlog.summary(warehouse.log.read())) == [
-        ("staging", "load", "skip", 2),
-        ("warehouse", "load", "failed", 1),
-        ("warehouse", "load", "success", 1),
-        ("warehouse", "transform", "skip", 1),
-        ("warehouse", "transform", "success", 2),
-        ("warehouse", "validation", "success", 2),
+        ("staging", "load", "skip", 2, 0),
+        ("warehouse", "load", "failed", 1, 0),
+        ("warehouse", "load", "success", 1, 0),
+        ("warehouse", "transform", "skip", 1, 0),
+        ("warehouse", "transform", "success", 2, 0),
+        ("warehouse", "validation", "success", 2, 0),
     ]
     failed = warehouse.log.read().filter("status = 'failed'").first()
     assert "1 keys are repeated" in failed.error_msg and failed.table_name == "fact_acquisition"
