@@ -104,6 +104,18 @@ def test_rounds_join_groups_that_one_leader_does_not(spark):
     assert {n.node: n.component for n in names.collect()} == {i: i // 4 * 4 for i in range(12)}
 
 
+def test_pairs_that_agree_in_one_sketch_are_found(spark):
+    """Three families that share no more than one value, which the first leader of the group joins to one only."""
+    r = random.Random(6)
+    families = [words(r, 100).split() for _ in range(3)]
+    texts = [" ".join([*f[:k], "z", *f[k + 1 :]]) for f in families for k in range(4)] + [words(r, 300)]
+    docs = table(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    members = [(1, i, 100) for i in range(12)] + [(1, 12, 300)]
+    members = spark.createDataFrame(members, "value long, node long, n_words long")
+    names = order_minhash._joined(members, docs, "doc_id", "text", 0.8)
+    assert {n.node: n.component for n in names.collect()} == {i: i // 4 * 4 for i in range(12)} | {12: 12}
+
+
 def test_fingerprints_follow_the_contract(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     rows = sorted(rows)
