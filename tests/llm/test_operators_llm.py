@@ -116,6 +116,18 @@ def test_pairs_that_agree_in_one_sketch_are_found(spark):
     assert {n.node: n.component for n in names.collect()} == {i: i // 4 * 4 for i in range(12)} | {12: 12}
 
 
+def test_short_texts_meet_slightly_longer_ones(spark):
+    r = random.Random(7)
+    eight, last, nine, first = ([f"{name}{i}" for i in range(n)] for name, n in (("a", 8), ("b", 8), ("c", 9), ("d", 9)))
+    mid = [f"e{i}" for i in range(13)]
+    pairs = [(eight, [*eight, "x"]), (["y", *last[1:]], last), (nine, [*nine[:-1], "x"]), (first, ["x", *first[1:]]),
+             (mid, [*mid[:6], "x", *mid[7:]]), ([f"f{i}" for i in range(13)], [f"f{i}" for i in range(13)] + ["x"] * 3)]
+    rows = [(2 * i + j, " ".join(t), "en", "a") for i, p in enumerate(pairs) for j, t in enumerate(p)]
+    rows += [(90, " ".join(eight[:5]) + " p q r s t u", "en", "a"), (91, words(r, 9), "en", "a")]
+    found = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(table(spark, rows)).collect()}
+    assert found == {i: i // 2 * 2 for i in range(12)} | {90: 90, 91: 91}
+
+
 def test_fingerprints_follow_the_contract(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     rows = sorted(rows)
