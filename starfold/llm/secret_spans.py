@@ -23,9 +23,13 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "der", "openssh", "jwt")
 
 _ENCODED = re.compile(r"[A-Za-z0-9+/](?:[A-Za-z0-9+/]|\r?\n(?=[A-Za-z0-9+/])){38,}={0,2}|[A-Za-z0-9_-]{40,}={0,2}")
+# Where a key may start in base64: the tag of a sequence and a length, or the magic of the length-prefixed kind.
+_START = re.compile(r"M(?=[A-P\r\n])|b3Bl")
+_PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
 _HEX_ANY = re.compile(r"(?:[0-9A-Fa-f]{2}){32,}")
 # What a text must hold for the slower patterns to be tried on it.
 _LONG_RUN = re.compile(r"[A-Za-z0-9+/_-]{32,}")
+_MAGIC = b"openssh-key-v1\0"
 _NAMES = ("passw", "secret", "token", "key")
 _HEADERS = ("eyJ", "eyA", "ewo", "ew0")
 _SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]{16,}")
@@ -81,27 +85,31 @@ def is_private_key(data: bytes) -> bool:
 
 def is_openssh_key(data: bytes) -> bool:
     """Whether bytes are a private key of the length-prefixed kind: its magic, then fields whose lengths nest."""
-    magic = b"openssh-key-v1\0"
-    if not data.startswith(magic):
-        return False
-    at = len(magic)
+    return openssh_size(data) is not None
+
+
+def openssh_size(data: bytes) -> int | None:
+    """Size of the private key of the length-prefixed kind that bytes begin with, or None."""
+    if not data.startswith(_MAGIC):
+        return None
+    at = len(_MAGIC)
     fields = []
     for n in range(3):  # cipher, key derivation and its options
         size = int.from_bytes(data[at : at + 4], "big")
         if at + 4 + size > len(data):
-            return False
+            return None
         fields.append(data[at + 4 : at + 4 + size])
         at += 4 + size
     keys = int.from_bytes(data[at : at + 4], "big")
     at += 4
     if not fields[0].isascii() or not 1 <= keys <= 16:
-        return False
+        return None
     for _ in range(keys + 1):
         size = int.from_bytes(data[at : at + 4], "big")
         if not size or at + 4 + size > len(data):
-            return False
+            return None
         at += 4 + size
-    return True
+    return at
 
 
 def is_signed_token(text: str) -> bool:
@@ -128,11 +136,72 @@ def _decoded(text: str) -> bytes | None:
         return None
 
 
+def _encoded(text: str, at: int, n: int) -> tuple[str, int]:
+    """The next `n` base64 characters, or as many as there are, without line breaks between them, and their end."""
+    parts = []
+    while n:
+        m = _PIECE.match(text, at, at + n)
+        if m is None:
+            break
+        parts.append(m[0])
+        at, n = m.end(), n - len(m[0])
+        if n:
+            after = at + (2 if text.startswith("\r\n", at) else 1 if text.startswith("\n", at) else 0)
+            if after == at or _PIECE.match(text, after, after + 1) is None:
+                break
+            at = after
+    return "".join(parts), at
+
+
+def _prefix(text: str, at: int, size: int) -> tuple[bytes, int]:
+    """At most `size` bytes that the base64 from a place on decodes to, and where their characters end."""
+    plain, end = _encoded(text, at, -(-size * 4 // 3))
+    return (_decoded(plain) or b"")[:size], end
+
+
+def keys_within(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of keys in base64 that start in a range, whatever words stand right before or after them.
+
+    A key may start at any character and ends where its own outer length, or its last field, says.
+    """
+    out, at = [], start
+    while (m := _START.search(text, at, end)) is not None:
+        begin = m.start()
+        at = begin + 1
+        if m[0] == "M":
+            head = _prefix(text, begin, 9)[0]
+            n = head[1] & 0x7F if len(head) == 9 and head[1] >= 0x80 else 0
+            if len(head) < 9 or head[0] != 0x30 or n > 4 or head[2 + n : 4 + n] != b"\2\1" or head[4 + n] > 1:
+                continue
+            size = 2 + n + (int.from_bytes(head[2 : 2 + n], "big") if n else head[1])
+            data, last = _prefix(text, begin, size) if size <= len(text) else (b"", begin)
+            kind = "der" if is_private_key(data) else None
+        else:
+            if _prefix(text, begin, len(_MAGIC))[0] != _MAGIC:
+                continue
+            size = openssh_size(_longest(text, begin))
+            kind, last = ("openssh", _prefix(text, begin, size)[1]) if size else (None, begin)
+        if kind:
+            padded = 0
+            while padded < -size % 3 and text.startswith("=", last):
+                last, padded = last + 1, padded + 1
+            out.append((kind, begin, last))
+            at = last
+    return out
+
+
+def _longest(text: str, at: int) -> bytes:
+    """What all base64 from a place on decodes to; characters that are no whole byte are left out."""
+    plain = _encoded(text, at, len(text))[0]
+    return _decoded(plain[: len(plain) // 4 * 4 + (len(plain) % 4 if len(plain) % 4 != 1 else 0)]) or b""
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all secrets, ordered by start and then kind; code points, end exclusive.
 
     Kinds `assign`, `access` and `hex` go by their wording. Candidates in base64 or hex are reported as `der` or
-    `openssh` if they decode to a private key, and dotted ones as `jwt` if they are signed tokens.
+    `openssh` if they decode to a private key, and dotted ones as `jwt` if they are signed tokens. A run of base64 that
+    is not a key as a whole is searched for keys that begin anywhere in it, so that words joined to a key don't hide it.
     """
     spans, lower = [], text.lower()
     if any(name in lower for name in _NAMES):
@@ -148,6 +217,10 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 data = decode(m[0])
                 if data and is_private_key(data):
                     spans.append(("der", *m.span()))
+                elif data and is_openssh_key(data) and openssh_size(data) == len(data):
+                    spans.append(("openssh", *m.span()))
+                elif pattern is _ENCODED:
+                    spans += keys_within(text, *m.span())
                 elif data and is_openssh_key(data):
                     spans.append(("openssh", *m.span()))
     return sorted(set(spans), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))

@@ -155,6 +155,27 @@ def test_structures():
     assert [text[a:b] for k, a, b in secret_spans.find(text) if k == "jwt"] == [token]
 
 
+def test_words_joined_to_a_key_do_not_hide_it():
+    import base64
+
+    keys = [der(0x30, der(2, b"\0") + b"".join(der(2, bytes([n, 255, 254]) * 40) for _ in range(8))) for n in (7, 8, 9)]
+    keys.append(der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a\x03")) + der(4, b"\xfb\xff" * 33)))
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    ssh = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big")
+    keys += [ssh + field(b"p" * 51) + field(b"k" * n) for n in (80, 81, 82)]
+    for key in keys:
+        plain = base64.b64encode(key).decode()
+        for code in (plain, plain.rstrip("="), base64.encodebytes(key).decode().strip().replace("\n", "\r\n")):
+            for before, after in (("my key\n", "\nthanks"), ("secret_", ""), ("id-", "\n\nbye"), ("", "\nthanks a lot"),
+                                  ("see/", " x"), ("a\nb\n", "\nc d"), ("x " * 9, " y"), (plain + "\n", "")):
+                text = before + code + after
+                found = [(a, b) for k, a, b in secret_spans.find(text) if k in ("der", "openssh")]
+                assert (len(before), len(before) + len(code)) in found, (before, after)
+                assert code not in secret_spans.redact(text, secret_spans.find(text))
+    assert secret_spans.find("my key\n" + base64.b64encode(keys[0][:-1] + b"").decode()) == []
+    assert secret_spans.keys_within("M" * 5000 + "\n" + "MIIB" * 900, 0, 8601) == []
+
+
 def test_base_kinds_and_redaction():
     text = 'é TOKEN = "abcdefgh" key api-key=1 apikey:12345678 AKIAABCDEFGHIJKL AKIAB ' + "f" * 31 + "g" + "a1" * 16
     found = secret_spans.find(text)
