@@ -188,27 +188,35 @@ def score(model: Model | None, texts: list[str]) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic",
         sample_rows=SAMPLE_ROWS, sample_chars=SAMPLE_CHARS) -> Model | None:
-    """A model of the labelled rows of `docs`; None if there is nothing to learn from.
+    """A model of the labelled rows of `docs`; None if `docs` has no labelled row.
 
-    It is fitted on `sample_rows` rows at most, those whose ids have the least hashes, and on no more of them than
-    together have `sample_chars` code points. Only the ids of labels are sorted; texts are fetched for the chosen ones.
-    A label of null is no label; an id with several labels counts as toxic if one of them is 1.
+    It is fitted on `sample_rows` ids at most, those with the least hashes. If their texts together have more than
+    `sample_chars` code points, the longest ones are left out, as few as bring the rest below it, so a very long text
+    never takes the place of the others. Only the ids of labels are sorted; texts are fetched for the chosen ones.
+    A label of null is no label; an id with several labels counts as toxic if one of them is 1. Labelled rows that no
+    model can be learnt from, as all have one label or no words, are an error.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = texts.join(F.broadcast(chosen), "id")
-    sizes = rows.select("id", F.length("text").alias("size")).toPandas()
-    sizes["order"] = pd.util.hash_array(sizes["id"].to_numpy())
-    sizes = sizes.sort_values(["order", "id", "size"])
-    kept = sizes[sizes["size"].cumsum() <= sample_chars]["id"].tolist()
-    if not kept:
+    sizes = rows.groupBy("id").agg(F.sum(F.length("text")).alias("size")).toPandas()
+    if sizes.empty:
         return None
-    spark = docs.sparkSession
-    part = spark.createDataFrame(pd.DataFrame({"id": pd.Series(kept).drop_duplicates()}))
-    sample = rows.join(F.broadcast(part), "id").toPandas().sort_values(["id", "text"])
-    return train(sample["text"].tolist(), sample["label"].tolist())
+    sizes["order"] = pd.util.hash_array(sizes["id"].to_numpy())
+    sizes = sizes.sort_values(["size", "order", "id"])
+    kept = sizes[sizes["size"].cumsum() <= sample_chars]["id"]
+    model = None
+    if len(kept):
+        part = docs.sparkSession.createDataFrame(pd.DataFrame({"id": kept}))
+        sample = rows.join(F.broadcast(part), "id").toPandas().sort_values(["id", "text"])
+        model = train(sample["text"].tolist(), sample["label"].tolist())
+    if model is None:
+        raise ValueError(
+            f"no toxicity model from {len(kept)} of {len(sizes)} labelled texts: they need words and both labels"
+        )
+    return model
 
 
 def rate(docs: DataFrame, model: Model | None, id_col="doc_id", text_col="text", threshold=THRESHOLD) -> DataFrame:

@@ -216,6 +216,21 @@ def test_models_on_held_out_rows(spark):
     assert len(scores) == len(docs) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in scores)
 
 
+def test_a_very_long_text_leaves_the_toxicity_sample_whole(spark):
+    r = random.Random(8)
+    rows = [(i, words(r, 40) + (" wretchedfool" if i % 3 == 0 else ""), "en", "a") for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(120)], "doc_id long, toxic int")
+    plain = table(spark, rows)
+    total = sum(len(t) for _, t, _, _ in rows)
+    want = toxicity.fit(plain, labels, sample_chars=total)
+    long = [(i + 1000, words(r, 40) * (total // 100), "en", "a") for i in range(20)]
+    more = labels.union(spark.createDataFrame([(i, 0) for i, *_ in long], "doc_id long, toxic int"))
+    got = toxicity.fit(table(spark, rows + long), more, sample_chars=total)
+    assert got.bias == want.bias and (got.buckets == want.buckets).all()
+    with pytest.raises(ValueError, match="labelled"):
+        toxicity.fit(plain, labels, sample_chars=10)
+
+
 def test_language_of_unseen_words(spark):
     docs = table(spark, [(1, "the cat sat on the mat", "en", ""), (2, "die katze sitzt auf der matte", "de", "")] * 3)
     model = language.fit(docs, "doc_id", "text", "lang")
