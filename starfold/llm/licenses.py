@@ -41,6 +41,8 @@ TEMPLATES = {
 }
 # Each template has one of these words; a block is a longest run of lines that have one too.
 CUE = r"(?i)licen[sc]|permission|copyright|warrant|sublicen|software"
+# Stands in the place of words that a confirmed notice has taken; no template has it.
+_TAKEN = "\0"
 # Largest share of a template's words that may differ, if no word differs that tells it from another template.
 REWORDED = 0.1
 
@@ -99,6 +101,85 @@ class Scanner:
             out += [f"-{w}" for w in template[a:b]] + [f"+{w}" for w in extra]
         return found, out
 
+    def notices(self, block: str) -> list[tuple[int, int, str, str, str]]:
+        """(start, end, license, verdict, differences) of each confirmed notice in a block, ordered by place.
+
+        Templates are ranked as in `scan`. The words of the winner are taken out, at all places where it is exact, and
+        the rest is ranked again until no template is confirmed.
+        """
+        spans = [m.span() for m in _WORD.finditer(block)]
+        tokens = [block[a:b].lower() for a, b in spans]
+        out = []
+        while True:
+            left = set(tokens)
+            # Each word of a template that stands nowhere is a difference, so other templates can't be confirmed.
+            able = [n for n, w in self.words.items() if sum(x not in left for x in w) <= REWORDED * len(w)]
+            won = None
+            for _, name in self._ranked(self._remaining(block, spans, tokens), able):
+                won = self._confirmed(name, tokens)
+                if won:
+                    break
+            if not won:
+                return sorted(out)
+            verdict, differences, places = won
+            for first, last in places:
+                out.append((spans[first][0], spans[last - 1][1], name, verdict, differences))
+                tokens[first:last] = [_TAKEN] * (last - first)
+
+    def _remaining(self, block: str, spans: list[tuple[int, int]], tokens: list[str]) -> str:
+        """The block without the stretches whose words are taken."""
+        out, at = [], 0
+        for i, (a, b) in enumerate(spans):
+            if tokens[i] == _TAKEN:
+                if not i or tokens[i - 1] != _TAKEN:
+                    out.append(block[at:a])
+                at = b
+        return "".join([*out, block[at:]])
+
+    def _ranked(self, block: str, names) -> list[tuple[int, str]]:
+        data = block.encode("utf-8", "surrogatepass")
+        plain = len(self.plain.compress(data))
+        return sorted(((plain - len(self.with_[n].compress(data)), n) for n in names), key=lambda s: (-s[0], s[1]))
+
+    def _confirmed(self, name: str, tokens: list[str]) -> tuple[str, str, list[tuple[int, int]]] | None:
+        """Verdict, differences and the ranges of words of a template's notices; None if its wording is not there."""
+        template = self.words[name]
+        n, places, at = len(template), [], 0
+        while at + n <= len(tokens):
+            try:
+                at = tokens.index(template[0], at)
+            except ValueError:
+                break
+            if tokens[at : at + n] == template:
+                places.append((at, at + n))
+                at += n
+            else:
+                at += 1
+        if places:
+            return "exact", "", places
+        _, differences = self.differences(name, tokens)
+        if len(differences) > REWORDED * n or {d[1:] for d in differences} & self.telling[name]:
+            return None
+        same = difflib.SequenceMatcher(None, template, tokens, autojunk=False).get_matching_blocks()[:-1]
+        return "reworded", " ".join(differences), [(same[0].b, same[-1].b + same[-1].size)]
+
+    def figures(self, name: str, block: str) -> tuple[int, int]:
+        """Bytes of a block compressed alone, and how many fewer with a template as dictionary."""
+        data = block.encode("utf-8", "surrogatepass")
+        plain = len(self.plain.compress(data))
+        return plain, plain - len(self.with_[name].compress(data))
+
+    def rows(self, text: str) -> list[tuple]:
+        """(start, end, license, verdict, plain bytes, bytes saved, differences) of all blocks of a text."""
+        out = []
+        for a, b in blocks(text):
+            block = text[a:b]
+            found = self.notices(block)
+            out += [(a, b, name, verdict, *self.figures(name, block), diff) for _, _, name, verdict, diff in found]
+            if not found:
+                out.append((a, b, *self.scan(block)))
+        return out
+
     def scan(self, block: str) -> tuple[str | None, str, int, int, str]:
         """(license, verdict, plain bytes, bytes saved, differences); the license is None if no template is confirmed.
 
@@ -119,13 +200,13 @@ class Scanner:
             few = len(differences) <= REWORDED * len(self.words[name])
             if few and not changed & self.telling[name]:
                 return name, "reworded", plain, reduction, " ".join(differences)
-            first = first or (None, f"unconfirmed:{name}", plain, reduction, " ".join(differences[:20]))
+            first = first or (None, f"unconfirmed:{name}", plain, reduction, " ".join(differences))
         return first or (None, "unconfirmed", plain, 0, "")
 
 
 def scan_licenses(docs: DataFrame, id_col="doc_id", text_col="text", templates: dict[str, str] | None = None):
-    """One row for each block of lines with a cue word: id_col, start, end (code points), license, verdict,
-    plain_bytes, saved_bytes and differences.
+    """One row for each confirmed notice in a block of lines with a cue word, and for each block without one: id_col,
+    start, end of the block (code points), license, verdict, plain_bytes, saved_bytes and differences.
 
     Texts without a cue, null and empty ones have no block. Repeated rows give repeated blocks, a block that several
     texts share is judged alike in each. Extra columns are ignored; an empty table gives no rows.
@@ -140,7 +221,7 @@ def scan_licenses(docs: DataFrame, id_col="doc_id", text_col="text", templates:
         for batch in batches:
             found = []
             for id_, text in zip(batch["id"], batch["text"]):
-                found += [(id_, a, b, *scanner.scan(text[a:b])) for a, b in blocks(text)]
+                found += [(id_, *row) for row in scanner.rows(text)]
             yield pd.DataFrame(found, columns=["id", "start", "end", *names])
 
     schema = (

@@ -231,6 +231,22 @@ def test_a_very_long_text_leaves_the_toxicity_sample_whole(spark):
         toxicity.fit(plain, labels, sample_chars=10)
 
 
+def test_every_notice_of_a_block_has_a_row(spark):
+    t = licenses.TEMPLATES
+    apache, mit, header = t["Apache-2.0"], t["MIT"], t["Apache-2.0-header"]
+    rows = [(1, f"{mit}\n{apache}", "en", "a"), (2, f"x {apache} y {t['MIT-text'].replace('hereby granted', 'granted')} "
+             f"z {mit} {mit}", "en", "a"), (3, f"{header} and {apache}", "en", "a"), (4, "license " * 3 + "of words", "en", "a")]
+    found = licenses.scan_licenses(table(spark, rows)).collect()
+    names = lambda i: sorted((x.license or "", x.verdict) for x in found if x.doc_id == i)
+    assert names(1) == [("Apache-2.0", "exact"), ("MIT", "exact")]
+    assert names(2) == [("Apache-2.0", "exact"), ("MIT", "exact"), ("MIT", "exact"), ("MIT-text", "reworded")]
+    assert names(3) == [("Apache-2.0", "exact"), ("Apache-2.0-header", "exact")]
+    (open_,) = [x for x in found if x.doc_id == 4]
+    assert open_.license is None
+    name = open_.verdict.split(":")[1]
+    assert open_.differences.split(" ") == licenses.Scanner(t).differences(name, licenses.words(rows[3][1]))[1]
+
+
 def test_language_of_unseen_words(spark):
     docs = table(spark, [(1, "the cat sat on the mat", "en", ""), (2, "die katze sitzt auf der matte", "de", "")] * 3)
     model = language.fit(docs, "doc_id", "text", "lang")
