@@ -63,6 +63,20 @@ def blocks(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def windows(text: str, around: int) -> list[tuple[int, int]]:
+    """Spans of the blocks with `around` characters before and after, up to a blank; those that meet are one."""
+    out: list[tuple[int, int]] = []
+    for a, b in blocks(text):
+        a = text.rfind(" ", 0, a - around) + 1 if a > around else 0
+        b = text.find(" ", b + around)
+        b = len(text) if b < 0 else b
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
@@ -70,6 +84,7 @@ def words(text: str) -> list[str]:
 class Scanner:
     def __init__(self, templates: dict[str, str], level: int = 3):
         self.templates = dict(sorted(templates.items()))
+        self.longest = max(map(len, templates.values()), default=0)
         self.words = {name: words(t) for name, t in self.templates.items()}
         self.plain = zstandard.ZstdCompressor(level=level, write_checksum=False)
         self.with_ = {
@@ -101,14 +116,18 @@ class Scanner:
             out += [f"-{w}" for w in template[a:b]] + [f"+{w}" for w in extra]
         return found, out
 
-    def notices(self, block: str) -> list[tuple[int, int, str, str, str]]:
+    def notices(self, block: str, taken=()) -> list[tuple[int, int, str, str, str]]:
         """(start, end, license, verdict, differences) of each confirmed notice in a block, ordered by place.
 
+        Words in the spans `taken` belong to other notices.
+
         Templates are ranked as in `scan`. The words of the winner are taken out, at all places where it is exact, and
         the rest is ranked again until no template is confirmed.
         """
         spans = [m.span() for m in _WORD.finditer(block)]
         tokens = [block[a:b].lower() for a, b in spans]
+        for start, end in taken:
+            tokens = [_TAKEN if start <= a < end else t for t, (a, _) in zip(tokens, spans)]
         out = []
         while True:
             left = set(tokens)
@@ -170,15 +189,28 @@ class Scanner:
         return plain, plain - len(self.with_[name].compress(data))
 
     def rows(self, text: str) -> list[tuple]:
-        """(start, end, license, verdict, plain bytes, bytes saved, differences) of all blocks of a text."""
+        """(start, end, license, verdict, plain bytes, bytes saved, differences): a row for each confirmed notice, and
+        for each block without one.
+
+        Notices are looked for across lines without a cue, up to the length of the longest template around each block,
+        and then in each block alone.
+        """
+        alone, wide = blocks(text), windows(text, self.longest)
+        found = [(a + x, a + y, *rest) for a, b in wide for x, y, *rest in self.notices(text[a:b])]
+        for a, b in alone:
+            if (a, b) not in wide:
+                taken = [(x - a, y - a) for x, y, *_ in found if x < b and y > a]
+                found += [(a + x, a + y, *rest) for x, y, *rest in self.notices(text[a:b], taken)]
         out = []
-        for a, b in blocks(text):
-            block = text[a:b]
-            found = self.notices(block)
-            out += [(a, b, name, verdict, *self.figures(name, block), diff) for _, _, name, verdict, diff in found]
-            if not found:
-                out.append((a, b, *self.scan(block)))
-        return out
+        for x, y, name, verdict, differences in found:
+            touched = [s for s in alone if x < s[1] and y > s[0]]
+            line_end = text.find("\n", y)
+            start = min([text.rfind("\n", 0, x) + 1, *(a for a, _ in touched)])
+            end = max([len(text) if line_end < 0 else line_end, *(b for _, b in touched)])
+            out.append((start, end, name, verdict, *self.figures(name, text[start:end]), differences))
+        held = [(x, y) for x, y, *_ in found]
+        out += [(a, b, *self.scan(text[a:b])) for a, b in alone if not any(x < b and y > a for x, y in held)]
+        return sorted(out, key=lambda row: row[:2])
 
     def scan(self, block: str) -> tuple[str | None, str, int, int, str]:
         """(license, verdict, plain bytes, bytes saved, differences); the license is None if no template is confirmed.
@@ -205,8 +237,11 @@ class Scanner:
 
 
 def scan_licenses(docs: DataFrame, id_col="doc_id", text_col="text", templates: dict[str, str] | None = None):
-    """One row for each confirmed notice in a block of lines with a cue word, and for each block without one: id_col,
-    start, end of the block (code points), license, verdict, plain_bytes, saved_bytes and differences.
+    """One row for each confirmed notice, and for each block of lines with a cue word in which none lies: id_col, start,
+    end (code points), license, verdict, plain_bytes, saved_bytes and differences.
+
+    A notice may run over lines without a cue, and blank ones. Its span is that of its lines and of the blocks that
+    they lie in; a block that holds several has a row for each.
 
     Texts without a cue, null and empty ones have no block. Repeated rows give repeated blocks, a block that several
     texts share is judged alike in each. Extra columns are ignored; an empty table gives no rows.

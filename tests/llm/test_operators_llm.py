@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import textwrap
 import zlib
 
 import pytest
@@ -247,6 +248,26 @@ def test_every_notice_of_a_block_has_a_row(spark):
     assert open_.differences.split(" ") == licenses.Scanner(t).differences(name, licenses.words(rows[3][1]))[1]
 
 
+def test_wrapped_notices_are_found(spark):
+    rows, want = [], []
+    for name, text in licenses.TEMPLATES.items():
+        for width in (20, 40, 60, 72, 80, 100):
+            lines = textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False)
+            for gap in ("\n", "\n\n"):
+                cut = max(1, len(lines) // 2)
+                body = "\n".join(lines[:cut]) + gap + "\n".join(lines[cut:])
+                want.append(name)
+                rows.append((len(rows), f"Some words before.\nMore of them.\n\n{body}\n\nAnd after.\n", "en", "a"))
+    found = {}
+    for x in licenses.scan_licenses(table(spark, rows)).collect():
+        found.setdefault(x.doc_id, []).append((x.license, x.verdict))
+        assert rows[x.doc_id][1][x.start : x.end].split()
+    assert found == {i: [(name, "exact")] for i, name in enumerate(want)}
+    far = "Released under the MIT License." + "\nplain line of words" * 200 + "\nAll software needs permission."
+    both = licenses.scan_licenses(table(spark, [(1, far, "en", "a")])).collect()
+    assert sorted((x.license or "", x.verdict.split(":")[0]) for x in both) == [("", "unconfirmed"), ("MIT", "exact")]
+
+
 def test_language_of_unseen_words(spark):
     docs = table(spark, [(1, "the cat sat on the mat", "en", ""), (2, "die katze sitzt auf der matte", "de", "")] * 3)
     model = language.fit(docs, "doc_id", "text", "lang")
