@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfold.llm import (
-    bloom_lookup, decontaminate, language, licenses, mixing, order_minhash, preferences, secret_spans, token_trees,
-    toxicity,
+    bloom_lookup, cap_filters, decontaminate, importance, language, licenses, mixing, order_minhash, preferences,
+    secret_spans, token_overlaps, token_trees, toxicity,
 )
 from starfold.llm.common import documents, learnt_from
 
@@ -67,6 +67,19 @@ def pigeonhole_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), items)
 
 
+def cap_filter_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_overlaps.compare_tokenizers(documents(spark, sf_dir), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     "op1_preference_format": preference_format,
     "op2_license_compression": license_compression,
@@ -78,4 +91,7 @@ QUERIES = {
     "op8_subword_toxicity": subword_toxicity,
     "op9_word_backoff_language": word_backoff_language,
     "op10_pigeonhole_leaks": pigeonhole_leaks,
+    "op11_cap_filters": cap_filter_links,
+    "op12_importance_resample": importance_resample,
+    "op13_token_alignment": token_alignment,
 }
