@@ -23,13 +23,18 @@ def load_landed_pages(
 ) -> StreamingQuery:
     """Upsert every page file not yet seen; call `awaitTermination` on the result.
 
-    The checkpoint records which files were loaded. A batch that is repeated after
-    a failure upserts the same rows again, which changes nothing. `whole_lists` is
-    as in `read_pages`.
+    The checkpoint records which files were loaded. The table's commit names the
+    query and the number of the last batch taken, so a batch that is repeated after
+    a failure is passed over. `whole_lists` is as in `read_pages`.
     """
 
     def take(batch: DataFrame, number: int) -> None:
-        load_extracted(staging, table, clean_page(batch), key, f"{staging.root}/_extracted/{table}/batch={number}")
+        # The id of a query lies in its checkpoint: it outlives restarts, and a new checkpoint is another query.
+        query = batch.sparkSession.read.json(f"{checkpoint}/metadata").first().id
+        load_extracted(
+            staging, table, clean_page(batch), key, f"{staging.root}/_extracted/{table}/query={query}/batch={number}",
+            (query, number),
+        )
 
     pages = (
         spark.readStream.schema(schema)

@@ -2,8 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from starfold.operators import upsert
-from starfold.operators.upsert import DuplicateKeys, duplicate_keys, load, merge
-from starfold.sources.store import Store
+from starfold.operators.upsert import DuplicateKeys, duplicate_keys, load
+from starfold.sources.store import CommitConflict, Store, Version
 
 SCHEMA = "k int, a string, b string"
 
@@ -75,18 +75,101 @@ def test_failed_write_leaves_the_former_version(spark, folder, as_rows):
 
 
 def test_scratch_and_old_versions_are_emptied(spark, folder, as_rows, monkeypatch):
-    monkeypatch.setattr(upsert, "new_folder", lambda spark, label: f"{folder}/scratch")
+    made = []
+    monkeypatch.setattr(upsert, "new_folder", lambda spark, label: made.append(f"{folder}/{label}-{len(made)}") or made[-1])
     store = Store(spark, f"{folder}/s")
     for n in range(4):
-        load(store, "t", spark.createDataFrame([(n, "a", "b")], SCHEMA), ["k"], "id")
-    assert stored(store, as_rows, "id", "k") == [(1, 0), (2, 1), (3, 2), (4, 3)]
-    assert spark.read.parquet(f"{folder}/s/t/version=000002").count() == 2
+        load(store, "t", spark.createDataFrame([(n, "a", "b"), (9, "c", str(n))], SCHEMA), ["k"], "id")
+    want = [(1, 0, "b"), (2, 9, "3"), (3, 1, "b"), (4, 2, "b"), (5, 3, "b")]
+    assert stored(store, as_rows, "id", "k", "b") == want
+    second = store.version("t", 2)
+    assert as_rows(store.read("t", version=second), "k", "b") == [(0, "b"), (1, "b"), (9, "1")]
     store.expire("t", older_than=3)
-    assert stored(store, as_rows, "id", "k") == [(1, 0), (2, 1), (3, 2), (4, 3)]
-    assert spark.read.parquet(f"{folder}/s/t/version=000003").count() == 3
-    for gone in (f"{folder}/s/t/version=000002", f"{folder}/scratch"):
-        with pytest.raises(Exception, match="(?i)parquet"):
-            spark.read.parquet(gone)
+    assert stored(store, as_rows, "id", "k", "b") == want
+    assert store.read("t", version=store.version("t", 3)).count() == 4
+    assert store.read("t", version=second).count() < 3
+    assert len(made) == 8
+    for path in made:
+        with pytest.raises(Exception, match="(?i)parquet|exist"):
+            spark.read.parquet(path)
+
+
+def files(store, table="t"):
+    """For each bucket the files that the current version reads."""
+    found = {}
+    for path in store.read(table).inputFiles():
+        found.setdefault(int(path.split("_bucket=")[1].split("/")[0]), set()).add(path)
+    return found
+
+
+def test_only_buckets_with_a_changed_row_are_written_anew(spark, folder):
+    store = Store(spark, folder, bucket_rows=50)
+    rows = spark.range(1000).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("a"), F.lit("b").alias("b"))
+    rows.write.parquet(f"{folder}/rows")
+    load(store, "t", spark.read.parquet(f"{folder}/rows"), ["k"], "id")
+    before = files(store)
+    assert store.current("t").n_buckets == len(before) == 32
+    load(store, "t", spark.createDataFrame([(5, "x", "y"), (7, "x", "y")], SCHEMA), ["k"], "id")
+    after = files(store)
+    changed = {b for b in after if after[b] != before[b]}
+    assert len(changed) <= 2 and not any(after[b] & before[b] for b in changed)
+    assert store.read("t").filter("a = 'x'").count() == 2 and store.read("t").count() == 1000
+    # Only new rows: every file stays, and folders are added to the buckets that gain rows.
+    load(store, "t", spark.createDataFrame([(5000 + i, "n", "n") for i in range(4)], SCHEMA), ["k"], "id")
+    assert all(files(store)[b] >= after[b] for b in after)
+    assert sorted(r.id for r in store.read("t").filter("a = 'n'").collect()) == [1001, 1002, 1003, 1004]
+    for n in range(upsert.MOST_FOLDERS):
+        load(store, "t", spark.createDataFrame([(5000, "n", str(n)), (6000 + n, "n", "n")], SCHEMA), ["k"], "id")
+    assert max(store.current("t").folders_of().values()) <= upsert.MOST_FOLDERS
+    assert store.current("t").rows == store.read("t").count() == 1004 + upsert.MOST_FOLDERS
+
+
+def test_a_table_is_dealt_anew_when_it_outgrows_its_buckets(spark, folder, as_rows):
+    store = Store(spark, folder, bucket_rows=10)
+    load(store, "t", spark.createDataFrame([(i, "a", "b") for i in range(10)], SCHEMA), ["k"], "id")
+    assert store.current("t").n_buckets == 1
+    load(store, "t", spark.createDataFrame([(i, "c", "d") for i in range(5, 100)], SCHEMA), ["k"], "id")
+    assert store.current("t").n_buckets == 16
+    assert stored(store, as_rows, "id", "k", "a") == sorted(
+        ((i + 1, i, "a" if i < 5 else "c") for i in range(100)), key=lambda r: tuple(map(str, r)))
+
+
+def test_second_writer_raises_and_loses_nothing(spark, folder, as_rows):
+    first, second = Store(spark, folder), Store(spark, folder)
+    load(first, "t", spark.createDataFrame([(1, "a", "b")], SCHEMA), ["k"], "id")
+    assert second.current("t").number == 1
+    load(first, "t", spark.createDataFrame([(2, "a", "b")], SCHEMA), ["k"], "id")
+    late = spark.createDataFrame([(3, "a", "b"), (1, "z", "z")], SCHEMA)
+    with pytest.raises(CommitConflict):
+        load(second, "t", late, ["k"], "id")
+    assert as_rows(Store(spark, folder).read("t"), "id", "k", "a") == [(1, 1, "a"), (2, 2, "a")]
+    again = Store(spark, folder)
+    load(again, "t", late, ["k"], "id")
+    assert stored(again, as_rows, "id", "k", "a") == [(1, 1, "z"), (2, 2, "a"), (3, 3, "a")]
+    empty = Store(spark, f"{folder}/e")
+    assert empty.current("t") is None
+    Store(spark, f"{folder}/e").commit("t", spark.range(1))
+    with pytest.raises(CommitConflict):
+        empty.publish("t", Version(1, 0, spark.range(1).schema.json()))
+
+
+def test_a_batch_of_a_stream_is_taken_once(spark, folder, as_rows):
+    store = Store(spark, folder)
+    for number, value in ((0, "a"), (0, "again"), (1, "b"), (0, "late")):
+        load(store, "t", spark.createDataFrame([(number, value, None)], SCHEMA), ["k"], "id", source=("s", number))
+    assert stored(store, as_rows, "k", "a") == [(0, "a"), (1, "b")]
+    load(store, "t", spark.createDataFrame([(7, "c", None)], SCHEMA), ["k"], "id", source=("other", 0))
+    assert store.current("t").taken == {"s": 1, "other": 0} and store.current("t").number == 3
+
+
+def test_null_keys_are_spread_over_buckets(spark, folder):
+    store = Store(spark, folder, bucket_rows=10)
+    rows = spark.createDataFrame([(None, str(i), "b") for i in range(200)] + [(1, "x", "y")], SCHEMA)
+    rows.write.parquet(f"{folder}/rows")
+    for n in (1, 2):
+        load(store, "t", spark.read.parquet(f"{folder}/rows"), ["k"], "id")
+        assert store.read("t").count() == 200 * n + 1 and len(files(store)) > 10
+    assert sorted(r.id for r in store.read("t").collect()) == list(range(1, 402))
 
 
 def test_unknown_column_is_refused(spark, folder):
@@ -98,13 +181,11 @@ def test_unknown_column_is_refused(spark, folder):
 
 def test_target_is_not_shuffled_for_a_small_batch(spark, folder):
     spark.range(1000).select("id", F.lit("x").alias("a")).write.parquet(f"{folder}/t")
-    target = spark.read.parquet(f"{folder}/t")
     batch = spark.createDataFrame([(1, "y")], "id long, a string")
-    kept, _ = merge(target, batch, ["id"], key_bytes=100)
-    plan = kept._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin [id" in plan and "LeftAnti" in plan
-    untouched = plan[: plan.index("LeftAnti")]
-    assert "Exchange hashpartitioning" not in untouched
+    tagged = upsert._tagged(spark.read.parquet(f"{folder}/t").select("id"), batch, ["id"], 100, False)
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("LeftSemi") :].split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in scan
 
 
 def test_store_without_versions(spark, folder):
