@@ -375,6 +375,29 @@ oracle(
     select 'shipped_at', k, count(*) from late where not exists (select 1 from days where date_id = k) group by k""",
 )
 
+# Columns that refer to each dimension, and how many of its rows the query leaves out.
+_REFERENCES = {
+    "dim_date": {
+        "fact_relationships": "start_at end_at", "fact_acquisition": "acquired_at", "fact_funds": "funded_at",
+        "fact_ipos": "public_at", "fact_milestones": "milestone_at", "fact_investment_round_participation": "funded_at",
+    },
+    "dim_company": {
+        "fact_relationships": "company_id", "fact_acquisition": "acquiring_company_id acquired_company_id",
+        "fact_funds": "company_id", "fact_ipos": "company_id", "fact_milestones": "company_id",
+        "fact_investment_round_participation": "investor_company_id investee_company_id",
+    },
+    "dim_people": {"fact_relationships": "people_id"},
+}
+_LOST = {"dim_date": "v % 100 = 15", "dim_company": "v % 7 = 3", "dim_people": "v % 5 = 1"}
+oracle(
+    "fk_violations_of_facts",
+    " union all ".join(
+        f"""select '{table}' table_name, '{c}' column_name, '{dimension}' dimension, cast(v as bigint) as "value", count(*) n_rows
+        from (select {c} v from {table}) where {_LOST[dimension]} group by v"""
+        for dimension, tables in _REFERENCES.items() for table, columns in tables.items() for c in columns.split()
+    ),
+)
+
 # Duplicates and set operations
 
 oracle("dedup_by_key", "select investment_id, funding_round_id, investor_object_id from one_investment")
@@ -478,6 +501,46 @@ oracle(
 )
 
 
+_LENGTHS = {
+    "dim_company": "company_nk region city state_code country_code",
+    "dim_people": "people_nk first_name last_name affiliation birthplace full_name",
+    "fact_relationships": "relationship_status",
+    "fact_acquisition": "price_currency_code term_code",
+    "fact_funds": "fund_name raised_currency_code",
+    "fact_ipos": "valuation_currency_code raised_currency_code stock_symbol",
+    "fact_milestones": "milestone_code",
+    "fact_investment_round_participation": "funding_round_type funding_round_code round_position_desc round_stage_desc",
+}
+
+
+def _rule(table: str, rule: str, column: str, violations: str, where: str = "true") -> str:
+    return f"select '{table}' table_name, '{rule}' rule, '{column}' column_name, {violations} violations from {table} where {where}"
+
+
+def _rules(table: str) -> list[str]:
+    surrogate, key, *_ = _TABLE_COLUMNS[table]
+    # Surrogate ids are given out here by a number for each row, so none is missing or repeated.
+    rows = [_rule(table, rule, surrogate, "0", "true limit 1") for rule in ("not_null", "unique")]
+    rows = [f"select * from ({row})" for row in rows]
+    parts = key.replace(" ", "").split(",")
+    whole = " and ".join(f"{c} is not null" for c in parts)
+    rows.append(_rule(table, "unique", ",".join(parts), f"count(*) - count(distinct ({key}))", whole))
+    return rows + [_rule(table, "max_length", c, "count(*)", f"length({c}) > 10") for c in _LENGTHS[table].split()]
+
+
+oracle(
+    "declared_rules",
+    " union all ".join(
+        [
+            _rule("dim_date", "not_null", "date_id", "count(*)", "date_id is null"),
+            _rule("dim_date", "unique", "date_id", "count(*) - count(distinct date_id)"),
+            _rule("dim_company", "unique", "region,city", "count(*) - count(distinct (region, city))", "region is not null and city is not null"),
+            _rule("dim_company", "unique", "state_code", "count(state_code) - count(distinct state_code)"),
+            *(row for table in _LENGTHS for row in _rules(table)),
+        ]
+    ),
+)
+
 _ROUND_COLUMNS = (
     "funding_round_id object_id funded_at funding_round_type funding_round_code raised_amount_usd "
     "pre_money_valuation_usd post_money_valuation_usd participants is_first_round is_last_round"
@@ -553,6 +616,12 @@ oracle(
     select acquisition_id, c.* from keyed left join dim_date c on k = date_id""",
 )
 
+oracle(
+    "calendar_days",
+    f"""with acquired as (select {_day('acquired_at')} k, count(*) n from stg_acquisition group by 1)
+    select c.*, n n_acquisitions from dim_date c left join acquired on k = date_id""",
+)
+
 # Loading
 
 oracle(
@@ -565,6 +634,8 @@ oracle(
     from order_batch where nk not in (select nk from order_target)""",
 )
 
+ORACLES["upsert_in_buckets"] = ORACLES["upsert_single_key"]
+
 
 def _lines(line: str) -> str:
     return f"""select l_orderkey order_nk, {line} line_nk,
@@ -633,8 +704,52 @@ oracle(
     from fact_milestones f join stg_milestones s on cast(s.milestone_id as bigint) = milestone_nk""",
 )
 
+oracle(
+    "daily_refresh_from_slices",
+    f"""select row_number() over (order by milestone_nk) milestone_id, f.*
+    from fact_milestones f join stg_milestones s on cast(s.milestone_id as bigint) = milestone_nk
+    where left(created_at, 10) = cast(cast(date '{SLICE_RUN_DATE}' - interval 1 day as date) as varchar)""",
+)
+# Rows were created on 2024-01-10 and the nine days after it, by the last digit of their key.
+_DAYS_ON = f"datediff('day', date '2024-01-10', date '{SLICE_RUN_DATE}' - interval 1 day)"
+oracle(
+    "daily_participation",
+    f"""select row_number() over (order by investment_nk, funding_round_nk nulls first) investment_round_participation_id, p.*
+    from fact_investment_round_participation p
+    where investment_nk % 10 = {_DAYS_ON}
+      or funding_round_nk in (select funding_round_nk from temp_funding_rounds where (funding_round_nk % 10 + 10) % 10 = {_DAYS_ON})""",
+)
+oracle(
+    "late_arriving_companies",
+    """select ipo_nk, public_at, stock_symbol, company_nk, company_id is null waits
+    from fact_ipos left join dim_company using (company_id)""",
+)
+oracle(
+    "merged_profiles",
+    " union all ".join(
+        f"""select '{c}' column_name, count(*) n_rows, count(*) - count({c}) n_missing, count(distinct {c}) n_exact,
+        true within_bound from stg_milestones"""
+        for c in ("milestone_id", "object_id", "milestone_at", "milestone_code")
+    ),
+)
+oracle(
+    "stage_typed_rows",
+    """select cast(event_id as varchar) milestone_id, cast(cast(ts as date) as varchar) created_at,
+      cast(cast(value as decimal(12,2)) as varchar) amount, case when user_id % 2 = 0 then 'true' else 'false' end is_even,
+      replace(replace(props, chr(13), ' '), chr(10), ' ') props
+    from events""",
+)
+
 # Questions
 
+oracle(
+    "partners_of_investors",
+    """with m as (
+      select distinct funding_round_nk r, investor_company_id i from fact_investment_round_participation
+      where funding_round_nk is not null and investor_company_id is not null)
+    select a.i investor_company_id, b.i partner_company_id, count(*) shared_rounds
+    from m a join m b on a.r = b.r and a.i <> b.i where a.i % 20 = 0 group by a.i, b.i""",
+)
 oracle(
     "top_acquirers",
     """select company_id, company_nk, country_code, count(*) n_acquisitions, sum(price_amount) total_price

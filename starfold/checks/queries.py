@@ -20,7 +20,7 @@ from starfold.operators.surrogate import assign_ids
 from starfold.operators.upsert import duplicate_keys, load
 from starfold.plans import analytics, runlog
 from starfold.plans.marts import build, build_participation, stage_database_rows
-from starfold.plans.refresh import Warehouse, stage
+from starfold.plans.refresh import Warehouse, landed, stage
 from starfold.plans.runlog import RunLog
 from starfold.plans.specs import (
     BY_NAME,
@@ -30,13 +30,15 @@ from starfold.plans.specs import (
     INVESTMENTS,
     PARTICIPATION,
     PARTICIPATION_KEY,
+    REFERRED_KEYS,
+    RULES,
     STAGED_KEYS,
     acquisition_spec,
     legacy_money,
 )
 from starfold.session import new_folder
 from starfold.sources.files import day_before, read_csv, read_slice, write_csv, write_json, write_slices
-from starfold.sources.pages import backfill_windows, read_pages
+from starfold.sources.pages import backfill_windows, in_windows, read_pages
 from starfold.sources.store import Store
 from starfold.streaming.landing import load_landed_pages
 
@@ -190,15 +192,8 @@ def backfill_windows_of_pages(spark, sf_dir):
     pages = read_pages(spark, _landed_pages(spark, sf_dir), whole_lists=False).distinct()
     day = F.col("milestone_at").try_cast("date")
     bounds = pages.agg(F.min(day).alias("first"), F.max(day).alias("last"))
-    # One row per year.
     windows = backfill_windows(bounds, "first", "last")
-    starts = F.array(*[F.lit(r.start_date) for r in windows.select("start_date").orderBy("start_date").collect()])
-    counts = (
-        pages.withColumn("window_no", F.size(F.filter(starts, lambda s: s <= day)) - 1)
-        .groupBy("window_no")
-        .agg(F.count("*").alias("n_records"))
-    )
-    return windows.join(counts, "window_no", "left")
+    return in_windows(pages, day, windows).groupBy(*windows.columns).agg(F.count("*").alias("n_records"))
 
 
 @query
@@ -385,7 +380,7 @@ def _order_keys(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 @query
 def insert_only_load(spark, sf_dir):
     target, batch = _order_keys(spark, sf_dir)
-    return target.select("nk", "status", "amount").unionByName(insert_if_absent(target, batch, ["nk"]))
+    return target.select("nk", "status", "amount").unionByName(insert_if_absent(target, batch, ["nk"], F.xxhash64("nk")))
 
 
 @query
@@ -402,6 +397,31 @@ def fk_violations(spark, sf_dir):
     return company.unionByName(days)
 
 
+@query
+def fk_violations_of_facts(spark, sf_dir):
+    """References of all six facts, against dimensions that have lost some rows."""
+    warehouse = _with(spark, sf_dir, *LOADED)
+    tables = {name: (warehouse.table(name), RULES[name].refers_to) for name in LOADED if RULES[name].refers_to}
+    left = {"dim_date": "date_id % 100 <> 15", "dim_company": "company_id % 7 <> 3", "dim_people": "people_id % 5 <> 1"}
+    dimensions = {name: (warehouse.table(name).filter(left[name]), key) for name, key in REFERRED_KEYS.items()}
+    return quality.broken_references_of(tables, dimensions)
+
+
+@query
+def declared_rules(spark, sf_dir):
+    """The declared rules of all nine tables, with texts held to ten characters and one more key for the companies."""
+    warehouse = _with(spark, sf_dir, *LOADED)
+    parts = []
+    for name in LOADED:
+        rules = RULES[name]
+        more = [("region", "city"), ("state_code",)] if name == "dim_company" else []
+        found = quality.rule_violations(
+            warehouse.table(name), rules.required, [*rules.unique, *more], dict.fromkeys(rules.lengths, 10)
+        )
+        parts.append(found.withColumn("table_name", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Duplicates and set operations
 
 
@@ -545,11 +565,22 @@ def dim_date(spark, sf_dir):
     return rows.join(F.broadcast(calendar(spark)), "date_id", "left")
 
 
+@query
+def calendar_days(spark, sf_dir):
+    """All days of the calendar, with the acquisitions of each."""
+    acquired = staged(spark, sf_dir, "acquisition").groupBy(date_key(F.col("acquired_at")).alias("date_id")).agg(
+        F.count("*").alias("n_acquisitions")
+    )
+    return calendar(spark).join(acquired, "date_id", "left")
+
+
 # Loading
 
 
-def _loaded_twice(spark, first: DataFrame, second: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
-    store = Store(spark, new_folder(spark, "store"))
+def _loaded_twice(
+    spark, first: DataFrame, second: DataFrame, keys: list[str], null_safe: bool = False, **options
+) -> DataFrame:
+    store = Store(spark, new_folder(spark, "store"), **options)
     for batch in (first, second):
         path = new_folder(spark, "batch")
         batch.write.parquet(path)
@@ -563,6 +594,13 @@ def upsert_single_key(spark, sf_dir):
     return _loaded_twice(spark, target, batch, ["nk"])
 
 
+@query
+def upsert_in_buckets(spark, sf_dir):
+    """The same load into a table of many buckets."""
+    target, batch = _order_keys(spark, sf_dir)
+    return _loaded_twice(spark, target, batch, ["nk"], bucket_rows=1_000)
+
+
 def _line_keys(spark: SparkSession, sf_dir: str, line: Column) -> DataFrame:
     lines = source_table(spark, sf_dir, "lineitem")
     return lines.groupBy(F.col("l_orderkey").alias("order_nk"), line.alias("line_nk")).agg(
@@ -673,6 +711,88 @@ def daily_refresh(spark, sf_dir):
     return warehouse.table(spec.name).drop("created_at")
 
 
+def _dated(rows: DataFrame, key: str) -> DataFrame:
+    """Staged rows that were created on one of ten days, by their key."""
+    day = F.date_add(F.lit("2024-01-10").cast("date"), F.pmod(F.col(key).try_cast("bigint"), F.lit(10)).cast("int"))
+    return rows.withColumn("created_at", F.concat(day.cast("string"), F.lit(" 00:00:00.000")))
+
+
+def _with_dimensions(spark, sf_dir, label: str, *names: str) -> Warehouse:
+    """A new warehouse that has the calendar and the named dimensions."""
+    loaded = _with(spark, sf_dir, *names)
+    warehouse = Warehouse(spark, new_folder(spark, label))
+    for name in ("dim_date", *names):
+        warehouse.store.commit(name, loaded.table(name))
+    return warehouse
+
+
+@query
+def daily_refresh_from_slices(spark, sf_dir):
+    """All days are landed and staged; the daily run reads the slice of one."""
+    spec = BY_NAME["fact_milestones"]
+    warehouse = _with_dimensions(spark, sf_dir, "slices", "dim_company")
+    staging = Store(spark, f"{warehouse.root}/staging")
+    stage(staging, warehouse.log, spec.staged, staged(spark, sf_dir, spec.staged), "source")
+    warehouse.refresh_table(spec, landed(staging, spec.staged), SLICE_RUN_DATE)
+    return warehouse.table(spec.name).drop("created_at")
+
+
+@query
+def daily_participation(spark, sf_dir):
+    """The investments of one day, and those of the rounds of that day."""
+    warehouse = _with_dimensions(spark, sf_dir, "participation", "dim_company")
+    investments = _dated(staged(spark, sf_dir, "investments"), "investment_id")
+    rounds = _dated(staged(spark, sf_dir, "funding_rounds"), "funding_round_id")
+    warehouse.refresh_participation(investments, rounds, SLICE_RUN_DATE)
+    return warehouse.table(PARTICIPATION).drop("created_at")
+
+
+@query
+def late_arriving_companies(spark, sf_dir):
+    """Offerings are loaded when half of the companies are known, and repaired by a daily run once all are."""
+    spec, companies = BY_NAME["fact_ipos"], staged(spark, sf_dir, "company")
+    warehouse = _with_dimensions(spark, sf_dir, "late")
+    early = companies.filter(F.substring("object_id", 3, 20).cast("long") % 2 == 0)
+    warehouse.refresh_table(BY_NAME["dim_company"], early)
+    ipos = _dated(staged(spark, sf_dir, "ipos"), "ipo_id")
+    warehouse.refresh_table(spec, ipos)
+    warehouse.refresh_table(BY_NAME["dim_company"], companies)
+    warehouse.refresh_table(spec, ipos, ABSENT_DAY)
+    waiting = warehouse.store.read("pending_fact_ipos").select(F.col("ipo_id").cast("long").alias("ipo_nk"))
+    # Ids of companies follow the order in which they came.
+    facts = warehouse.table("fact_ipos").join(warehouse.table("dim_company").select("company_id", "company_nk"), "company_id", "left")
+    waits = waiting.withColumn("waits", F.lit(True))
+    return facts.join(waits, "ipo_nk", "left").select(
+        "ipo_nk", "public_at", "stock_symbol", "company_nk", F.coalesce("waits", F.lit(False)).alias("waits")
+    )
+
+
+@query
+def merged_profiles(spark, sf_dir):
+    """Sketches of each day's milestones, merged, against the exact counts of all of them."""
+    rows = staged(spark, sf_dir, "milestones").withColumn("ds", F.substring("created_at", 1, 10))
+    columns = ["milestone_id", "object_id", "milestone_at", "milestone_code"]
+    path = new_folder(spark, "sketches")
+    profiling.column_sketches(rows, columns, ["ds"]).write.parquet(path)
+    merged = profiling.merged_sketches(spark.read.parquet(path))
+    exact = profiling.exact_distinct(rows, columns).withColumnRenamed("n_distinct", "n_exact")
+    far = F.abs(F.col("n_distinct") - F.col("n_exact"))
+    return merged.join(exact, "column_name").select(
+        "column_name", "n_rows", "n_missing", "n_exact",
+        (far <= 3 * profiling.SKETCH_ERROR * F.col("n_exact") + 1).alias("within_bound"),
+    )
+
+
+@query
+def stage_typed_rows(spark, sf_dir):
+    """Rows of a database with types of their own become text."""
+    rows = source_table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("milestone_id"), F.col("ts").cast("date").alias("created_at"),
+        F.col("value").cast("decimal(12,2)").alias("amount"), (F.col("user_id") % 2 == 0).alias("is_even"), "props",
+    )
+    return _staged_through(spark, "milestones", stage_database_rows(rows))
+
+
 # Questions
 
 
@@ -696,6 +816,14 @@ def co_investors(spark, sf_dir):
     return analytics.co_investors(*_tables(spark, sf_dir, PARTICIPATION))
 
 
+@query
+def partners_of_investors(spark, sf_dir):
+    """The partners of every investor whose id is divisible by 20."""
+    (participation,) = _tables(spark, sf_dir, PARTICIPATION)
+    investors = participation.filter("investor_company_id % 20 = 0").select("investor_company_id")
+    return analytics.partners_of(participation, investors)
+
+
 @query
 def round_to_milestone(spark, sf_dir):
     return analytics.round_to_milestone(*_tables(spark, sf_dir, PARTICIPATION, "fact_milestones"))

@@ -107,6 +107,6 @@ def matching(
     return spread_left_join(rows, present, keys.columns, spread=spread)
 
 
-def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of `batch` whose key the target does not have. `batch` is read from files."""
-    return matching(batch, target.select(*keys)).filter("matched is null").select(*batch.columns)
+def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], spread: Column | None = None) -> DataFrame:
+    """The rows of `batch` whose key the target does not have. Give `spread` unless `batch` is read from files."""
+    return matching(batch, target.select(*keys), spread).filter("matched is null").select(*batch.columns)

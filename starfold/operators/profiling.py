@@ -104,3 +104,43 @@ def profile_report(
     for part in parts[1:]:
         result = result.unionByName(part.select(*order))
     return result.withColumn("created_at", F.current_date())
+
+
+# Bits by which a sketch's registers are numbered: 4,096 registers, a relative standard error of about 1.04 / 64.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def column_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by, column_name, n_rows, n_missing, sketch): for each slice and column counts and a HyperLogLog sketch of its values.
+
+    Slices are profiled when they land and merged later, so a profile of many days does not read their rows again. One
+    row for each slice and column, of a few kilobytes.
+    """
+    counts = df.groupBy(*by).agg(
+        *[F.struct(
+            F.count("*").alias("n_rows"), F.count_if(F.col(c).isNull()).alias("n_missing"),
+            F.hll_sketch_agg(F.col(c).cast("string"), SKETCH_BITS).alias("sketch"),
+        ).alias(c) for c in columns]
+    )
+    tall = counts.unpivot(list(by), list(columns), "column_name", "found")
+    return tall.select(*by, "column_name", "found.*")
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """(column_name, n_rows, n_missing, n_distinct, sketch) of all slices together; `n_distinct` is estimated.
+
+    The estimate equals that of a sketch over all rows up to the rounding of merged registers, and lies within three
+    times `SKETCH_ERROR` of the exact count with a chance of over 99 %.
+    """
+    merged = sketches.groupBy("column_name").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_missing").alias("n_missing"), F.hll_union_agg("sketch").alias("sketch")
+    )
+    return merged.select("column_name", "n_rows", "n_missing", F.hll_sketch_estimate("sketch").alias("n_distinct"), "sketch")
+
+
+def exact_distinct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, n_distinct) of non-missing values, counted from one scan and one shuffle of distinct values."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    values = df.select(F.inline(pairs)).distinct()
+    return values.groupBy("column_name").agg(F.count("value").alias("n_distinct"))

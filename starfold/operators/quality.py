@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -97,6 +98,71 @@ def constraint_violations(
     return result
 
 
+def rule_violations(
+    df: DataFrame,
+    required: Sequence[str] = (),
+    unique: Sequence[Sequence[str]] = (),
+    max_length: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """(rule, column_name, violations) for each declared rule, all from one scan and one shuffle.
+
+    A row yields the rules that it breaks, which are counted before the shuffle, and one entry for each unique key. Keys
+    with a NULL part are left out; the rows beyond the first of each key count.
+    """
+    broken = {("not_null", c): F.col(c).isNull() for c in required}
+    broken |= {("max_length", c): F.length(c) > n for c, n in (max_length or {}).items()}
+    keyed = {}
+    for key in unique:
+        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+        keyed["unique", ",".join(key)] = F.when(whole, F.to_json(F.struct(*key)))
+    declared = [*broken, *keyed]
+
+    def entry(rule: tuple[str, str], holds: Column, value: Column) -> Column:
+        return F.when(holds, F.struct(F.lit(declared.index(rule)).alias("rule_no"), value.alias("value")))
+
+    none = F.lit(None).cast("string")
+    entries = [entry(rule, bad, none) for rule, bad in broken.items()]
+    entries += [entry(rule, value.isNotNull(), value) for rule, value in keyed.items()]
+    counted = (
+        df.select(F.inline(F.array_compact(F.array(*entries))))
+        .groupBy("rule_no", "value").agg(F.count("*").alias("n"))
+        .groupBy("rule_no").agg(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(F.col("n") - 1)).alias("violations"))
+    )
+    # One row for each declared rule.
+    rules = df.sparkSession.createDataFrame([(i, *r) for i, r in enumerate(declared)], "rule_no int, rule string, column_name string")
+    found = F.broadcast(rules).join(counted, "rule_no", "left")
+    return found.select("rule", "column_name", F.coalesce("violations", F.lit(0)).alias("violations"))
+
+
+def references(tables: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
+    """(table_name, column_name, dimension, value, n_rows): the values by which tables refer to dimensions, counted once.
+
+    `tables` maps a name to its rows and to the dimension of each referring column. NULL refers to nothing.
+    """
+    parts = []
+    for name, (df, columns) in tables.items():
+        dimension = F.create_map(*[F.lit(x) for pair in columns.items() for x in pair])
+        tall = df.select(*[F.col(c).cast("bigint").alias(c) for c in columns]).unpivot([], list(columns), "column_name", "value")
+        parts.append(tall.filter("value is not null").select(
+            F.lit(name).alias("table_name"), "column_name", dimension[F.col("column_name")].alias("dimension"), "value"
+        ))
+    stacked = reduce(DataFrame.unionByName, parts)
+    return stacked.groupBy(*stacked.columns).agg(F.count("*").alias("n_rows"))
+
+
+def broken_references_of(
+    tables: Mapping[str, tuple[DataFrame, Mapping[str, str]]], dimensions: Mapping[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """Rows of `references` whose dimension lacks the value.
+
+    All columns of all tables meet the keys of all dimensions in one anti join; each value takes part once.
+    """
+    known = [
+        df.select(F.lit(name).alias("dimension"), F.col(key).cast("bigint").alias("value")) for name, (df, key) in dimensions.items()
+    ]
+    return references(tables).join(reduce(DataFrame.unionByName, known), ["dimension", "value"], "left_anti")
+
+
 def broken_references(
     df: DataFrame, column: str, dimension: DataFrame, dimension_key: str, dimension_rows: int | None = None
 ) -> DataFrame:

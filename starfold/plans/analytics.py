@@ -66,11 +66,10 @@ def ipo_valuation_by_year(ipos: DataFrame, years: int = 5) -> DataFrame:
             F.sum("valuation_amount").alias("total_valuation"),
         )
     )
-    # One row per year and currency is left here.
-    newest = F.max("year").over(Window.partitionBy())
+    newest = known_dates(ipos, "public_at").agg(F.max(_year("public_at")).alias("_newest"))
     return (
-        per_year.withColumn("_newest", newest)
-        .filter(F.col("year") > F.col("_newest") - years)
+        # The other side is one row.
+        per_year.join(F.broadcast(newest), F.col("year") > F.col("_newest") - years)
         .drop("_newest")
         .withColumn("avg_valuation", F.col("total_valuation").cast("double") / F.nullif("n_valued", F.lit(0)))
     )
@@ -102,15 +101,20 @@ def co_investors(participation: DataFrame) -> DataFrame:
     )
 
 
-def partners_of(participation: DataFrame, investor_company_ids: list[int]) -> DataFrame:
+def partners_of(participation: DataFrame, investors: DataFrame | list[int]) -> DataFrame:
     """Every partner of the investors that the caller names, and the rounds they share.
 
-    A round carries at most as many of these investors as are named, so each participation yields at most so many rows.
+    `investors` is a list of company ids, or a table whose first column holds them. A round carries at most as many of
+    these investors as are named, so each participation yields at most so many rows.
     """
     members = _members(participation)
+    if isinstance(investors, DataFrame):
+        named = investors.select(F.col(investors.columns[0]).alias("investor_company_id"))
+        chosen = members.join(named, "investor_company_id", "left_semi")
+    else:
+        chosen = members.filter(F.col("investor_company_id").isin(investors))
     focus = (
-        members.filter(F.col("investor_company_id").isin(investor_company_ids))
-        .groupBy("funding_round_nk")
+        chosen.groupBy("funding_round_nk")
         .agg(F.collect_set("investor_company_id").alias("focus"))
     )
     attached = spread_left_join(

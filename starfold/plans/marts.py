@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -30,10 +31,14 @@ class Dimension:
     n_rows: int | None = None
 
 
+# The staged row of a built row with a key that no dimension has yet, NULL for others.
+PENDING = "_pending"
+
+
 def _build(
-    spec: TableSpec, staged: DataFrame, dimensions: Mapping[str, Dimension] | None = None
+    spec: TableSpec, staged: DataFrame, dimensions: Mapping[str, Dimension] | None = None, pending: bool = False
 ) -> DataFrame:
-    """The table's rows, and `_spread` that differs from row to row.
+    """The table's rows, and `_spread` that differs from row to row; with `pending` also `PENDING`.
 
     `_spread` is a hash of the key once rows are one per key, else the row's place
     in the staged files. It is set before any shuffle, so a repeated task finds the same.
@@ -44,7 +49,9 @@ def _build(
         rows = keep_first(rows, [spec.one_row_per])
         spread = F.xxhash64(spec.one_row_per)
     keys = [F.col(k.source).alias(k.nk) for k in spec.lookups]
-    rows = rows.select(*[f.column() for f in spec.fields], *keys, spread.alias("_spread"))
+    own = [F.struct(*spec.staged_columns).alias(PENDING)] if pending else []
+    has = [F.col(k.source).isNotNull().alias(f"_has_{k.as_id}") for k in spec.lookups] if pending else []
+    rows = rows.select(*[f.column() for f in spec.fields], *keys, spread.alias("_spread"), *own, *has)
     for lookup in spec.lookups:
         nk, dimension_id = DIMENSION_KEYS[lookup.dimension]
         dimension = dimensions[lookup.dimension]
@@ -53,14 +60,17 @@ def _build(
             # Counted on the staged column alone, before the wider steps above.
             hot = hot_keys(staged.select(F.col(lookup.source).alias(lookup.nk)), [lookup.nk])
         rows = lookup_id(rows, dimension.rows, dimension.n_rows, lookup.nk, nk, dimension_id, lookup.as_id, hot, F.col("_spread"))
+    if pending:
+        waits = reduce(lambda a, b: a | b, [F.col(f"_has_{k.as_id}") & F.col(k.as_id).isNull() for k in spec.lookups], F.lit(False))
+        rows = rows.withColumn(PENDING, F.when(waits, F.col(PENDING))).drop(*[f"_has_{k.as_id}" for k in spec.lookups])
     return rows
 
 
 def build(
-    spec: TableSpec, staged: DataFrame, dimensions: Mapping[str, Dimension] | None = None
+    spec: TableSpec, staged: DataFrame, dimensions: Mapping[str, Dimension] | None = None, pending: bool = False
 ) -> DataFrame:
-    """The rows of one table, without its own surrogate id."""
-    return _build(spec, staged, dimensions).drop("_spread")
+    """The rows of one table, without its own surrogate id; with `pending` also `PENDING`."""
+    return _build(spec, staged, dimensions, pending).drop("_spread")
 
 
 def build_participation(
@@ -96,6 +106,13 @@ def build_participation(
     )
 
 
+def rounds_of(investments: DataFrame, rounds: DataFrame) -> DataFrame:
+    """The staged rounds that the investments name, before anything else is done to them."""
+    number = to_long(F.col("funding_round_id")).alias("_number")
+    named = investments.select(number).filter("_number is not null").distinct()
+    return rounds.select("*", number).join(named, "_number", "left_semi").drop("_number")
+
+
 def investee_mismatches(investments: DataFrame, rounds: DataFrame) -> DataFrame:
     """Staged investments whose funded company differs from their round's company."""
     left = investments.select("investment_id", "funding_round_id", "funded_object_id")

@@ -274,3 +274,31 @@ STAGED_KEYS = {
     "people": "people_id",
     "relationships": "relationship_id",
 }
+
+
+@dataclass(frozen=True)
+class Rules:
+    """What a loaded table must hold to: columns that have a value, unique keys, longest texts, references."""
+
+    required: tuple[str, ...]
+    unique: tuple[tuple[str, ...], ...]
+    lengths: dict[str, int]
+    refers_to: dict[str, str]
+
+
+def _rules(surrogate: str, key: tuple[str, ...], lengths: dict[str, int], lookups: tuple[Lookup, ...], dates: tuple[str, ...]) -> Rules:
+    refers_to = {k.as_id: k.dimension for k in lookups} | {c: "dim_date" for c in dates}
+    return Rules((surrogate,), ((surrogate,), key), lengths, refers_to)
+
+
+# The declared rules of every loaded table.
+RULES = {
+    "dim_date": Rules(("date_id",), (("date_id",),), {}, {}),
+    **{s.name: _rules(s.surrogate, s.key, s.lengths, s.lookups, s.date_cols) for s in (*DIMENSIONS, *FACTS)},
+    PARTICIPATION: _rules(
+        PARTICIPATION_ID, PARTICIPATION_KEY, FUNDING_ROUNDS.lengths, (*INVESTMENTS.lookups, *FUNDING_ROUNDS.lookups),
+        FUNDING_ROUNDS.date_cols,
+    ),
+}
+# The key that references to a dimension hold.
+REFERRED_KEYS = {"dim_date": "date_id"} | {name: dimension_id for name, (_, dimension_id) in DIMENSION_KEYS.items()}

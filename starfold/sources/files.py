@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -17,6 +19,8 @@ _CSV = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# The column that slices are named by.
+DAY = "ds"
 # A file with newlines inside values cannot be split, so files are kept small.
 CSV_ROWS_PER_FILE = 1_000_000
 
@@ -27,10 +31,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**options).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Staged text files as strings, with declared columns."""
+def read_csv(spark: SparkSession, path: str, columns: list[str], newlines: bool = True) -> DataFrame:
+    """Staged text files as strings, with declared columns.
+
+    A file whose values may hold newlines is read by one task. Without `newlines` large files are split.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.schema(schema).options(**_CSV, multiLine="true").csv(path)
+    return spark.read.schema(schema).options(**_CSV, multiLine=str(newlines).lower()).csv(path)
 
 
 def write_slice(df: DataFrame, path: str, ds: str) -> None:
@@ -54,6 +61,16 @@ def write_slices(df: DataFrame, path: str, ds: Column) -> None:
     )
 
 
+def read_slices(spark: SparkSession, path: str, schema: T.StructType, other: Sequence[T.StructField] = ()) -> DataFrame:
+    """All days of slices of rows of `schema`, with the day as a date; `other` are partition columns beside it.
+
+    A filter on the day leaves out the files of other days.
+    """
+    partitions = [*other, T.StructField(DAY, T.DateType())]
+    fields = [f for f in schema.fields if f.name not in {p.name for p in partitions}]
+    return spark.read.schema(T.StructType([*fields, *partitions])).parquet(path)
+
+
 def read_slice(spark: SparkSession, path: str, ds: str) -> DataFrame | None:
     """One day's rows, or None when that day was never written."""
     return read_or_none(spark, f"{path}/ds={ds}")
@@ -72,9 +89,12 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 def created_on_day_before(df: DataFrame, created_at: str, run_date: str) -> Column:
     """Whether a row was created on the day before `run_date`, as a half-open range.
 
-    Works for timestamps and for ISO text; both forms reach the file scan.
+    Works for timestamps and for ISO text; both forms reach the file scan. Rows landed by day are taken by their slice,
+    so files of other days are not opened.
     """
     run = F.to_date(F.lit(run_date))
+    if DAY in df.columns:
+        return F.col(DAY) == F.date_sub(run, 1)
     column = F.col(created_at)
     if isinstance(df.schema[created_at].dataType, T.StringType):
         low, high = F.date_sub(run, 1).cast("string"), run.cast("string")

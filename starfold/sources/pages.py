@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from starfold.functions.text import null_tokens, repair_frame
@@ -50,6 +50,20 @@ def backfill_windows(bounds: DataFrame, first: str, last: str) -> DataFrame:
     )
 
 
+def in_windows(records: DataFrame, day: Column, windows: DataFrame) -> DataFrame:
+    """Records with the columns of the window (`start_date` to before `end_date`) that their day lies in, once for each.
+
+    Both sides meet by month: a window stands under each month that it touches, a record under its own. So the join is
+    on equal months, however long the range of dates is, and the dates decide within a month. Others are left out.
+    """
+    month = lambda c: F.trunc(c, "month")
+    last = F.date_sub("end_date", 1)
+    months = windows.withColumn("_month", F.explode(F.sequence(month(F.col("start_date")), month(last), F.expr("interval 1 month"))))
+    dated = records.withColumn("_day", day).withColumn("_month", month(F.col("_day")))
+    within = (F.col("_day") >= F.col("start_date")) & (F.col("_day") < F.col("end_date"))
+    return dated.join(months, "_month").filter(within).drop("_month", "_day")
+
+
 class _Window(InputPartition):
     def __init__(self, start_date: str, end_date: str) -> None:
         self.start_date = start_date

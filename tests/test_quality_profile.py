@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from starfold.operators import profiling, quality
+from starfold.operators.profiling import SKETCH_ERROR, column_sketches, exact_distinct, merged_sketches
+from starfold.operators.quality import rule_violations
 
 ROWS = [(1, "a", 20100101), (2, None, 21000101), (None, None, 21000101), (4, "d", None)]
 SCHEMA = "k int, v string, d int"
@@ -86,3 +88,28 @@ def test_report_has_only_the_checks_asked_for(spark, as_rows):
     ]
     with pytest.raises(ValueError):
         profiling.profile_report(df)
+
+
+def test_rules_in_one_scan(spark, as_rows):
+    rows = spark.createDataFrame(
+        [(1, "a", None), (1, "a", "xx"), (2, "bbb", "y"), (None, "a", "y"), (None, None, "y")], "k int, a string, b string")
+    found = rule_violations(rows, ["k", "b"], [["k"], ["k", "a"], ["b"], ["a", "b"]], {"a": 2, "b": 2})
+    assert as_rows(found) == [
+        ("max_length", "a", 1), ("max_length", "b", 0), ("not_null", "b", 1), ("not_null", "k", 2),
+        ("unique", "a,b", 0), ("unique", "b", 2), ("unique", "k", 1), ("unique", "k,a", 1),
+    ]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LocalTableScan") + plan.count("Scan ExistingRDD") == 2
+    assert {r.violations for r in rule_violations(rows.filter("false"), ["k"], [["a"]]).collect()} == {0}
+
+
+def test_sketches_of_slices_merge(spark):
+    rows = spark.range(20_000).selectExpr("id % 7 ds", "id a", "id % 50 b", "if(id % 4 = 0, null, id % 3000) c")
+    sliced = merged_sketches(column_sketches(rows, ["a", "b", "c"], ["ds"])).collect()
+    whole = {r.column_name: r for r in merged_sketches(column_sketches(rows, ["a", "b", "c"])).collect()}
+    exact = {r.column_name: r.n_distinct for r in exact_distinct(rows, ["a", "b", "c"]).collect()}
+    assert len(sliced) == 3 and exact == {"a": 20_000, "b": 50, "c": 2250}
+    for row in sliced:
+        assert row.n_rows == 20_000 and row.n_missing == whole[row.column_name].n_missing == (5000 if row.column_name == "c" else 0)
+        for found in (row, whole[row.column_name]):
+            assert abs(found.n_distinct - exact[row.column_name]) <= 3 * SKETCH_ERROR * exact[row.column_name] + 1

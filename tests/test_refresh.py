@@ -1,13 +1,15 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from starfold.operators.upsert import DuplicateKeys
 from starfold.plans import runlog
-from starfold.plans.marts import Dimension, build, investee_mismatches, stage_database_rows
-from starfold.plans.refresh import Warehouse, stage
+from starfold.plans.marts import Dimension, build, investee_mismatches, rounds_of, stage_database_rows
+from starfold.plans.refresh import Warehouse, landed, stage
 from starfold.plans.runlog import RunLog
-from starfold.plans.specs import BY_NAME, PARTICIPATION, TableSpec
+from starfold.plans.specs import BY_NAME, PARTICIPATION, RULES, TableSpec
+from starfold.sources.files import created_on_day_before
 from starfold.sources.store import Store
 
 COLUMNS = {
@@ -142,6 +144,103 @@ def test_late_company_of_an_unchanged_row_needs_a_full_run(spark, folder):
     assert warehouse.table("fact_funds").first().company_id == 2
 
 
+def test_a_waiting_row_is_repaired_by_the_next_daily_run(spark, folder):
+    warehouse = Warehouse(spark, folder)
+    warehouse.refresh_calendar()
+    spec = BY_NAME["fact_funds"]
+    funds = [dict(fund_id="1", object_id="c:5", name="old", created_at=D1), dict(fund_id="2", created_at=D1), dict(fund_id="3", object_id="c:6", created_at=D1)]
+    warehouse.refresh_table(BY_NAME["dim_company"], frame(spark, "company", [dict(object_id="c:1", created_at=D1)]))
+    warehouse.refresh_table(spec, frame(spark, "funds", funds), "2010-01-02")
+    assert {r.fund_nk: r.company_id for r in warehouse.table("fact_funds").collect()} == {1: None, 2: None, 3: None}
+    assert sorted(r.fund_id for r in warehouse.table("pending_fact_funds").collect()) == ["1", "3"]
+    # The company comes with a day on which no fund is staged.
+    warehouse.refresh_table(BY_NAME["dim_company"], frame(spark, "company", [dict(object_id="c:5", created_at=D2)]), "2010-01-03")
+    warehouse.refresh_table(spec, frame(spark, "funds", funds), "2010-01-03")
+    found = {r.fund_nk: (r.fund_id, r.company_id, r.fund_name) for r in warehouse.table("fact_funds").collect()}
+    assert found == {1: (1, 2, "old"), 2: (2, None, None), 3: (3, None, None)}
+    assert [r.fund_id for r in warehouse.table("pending_fact_funds").collect()] == ["3"]
+    # A waiting row that is staged anew is taken as it is now.
+    late = [dict(fund_id="3", object_id="c:5", name="new", created_at=D2)]
+    warehouse.refresh_table(spec, frame(spark, "funds", late), "2010-01-03")
+    assert warehouse.table("fact_funds").filter("fund_nk = 3").first().fund_name == "new"
+    assert warehouse.table("pending_fact_funds").count() == 0
+
+
+def test_a_daily_run_opens_the_files_of_its_day(spark, folder):
+    staging, log = Store(spark, f"{folder}/staging"), RunLog(spark, f"{folder}/log")
+    rows = frame(spark, "milestones", [dict(milestone_id=str(i), created_at=(D1, D2)[i % 2]) for i in range(6)])
+    stage(staging, log, "milestones", rows, "source")
+    day = created_on_day_before(landed(staging, "milestones"), "created_at", "2010-01-03")
+    plan = landed(staging, "milestones").filter(day)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    filters = text[text.index("PartitionFilters") : text.index("PushedFilters")]
+    assert "ds#" in filters and "_keyed" in filters
+    assert sorted(r.milestone_id for r in plan.collect()) == ["1", "3", "5"]
+    assert {p.split("ds=")[1].split("/")[0] for p in plan.inputFiles()} <= {"2010-01-01", "2010-01-02"}
+    # A later daily run replaces its own day's slice alone.
+    stage(staging, log, "milestones", frame(spark, "milestones", [dict(milestone_id="9", created_at=D2)]), "source", "2010-01-03")
+    assert sorted((str(r.ds), r.milestone_id) for r in landed(staging, "milestones").collect()) == [
+        ("2010-01-01", "0"), ("2010-01-01", "2"), ("2010-01-01", "4"), ("2010-01-02", "9")
+    ]
+    assert staging.read("milestones").count() == 7
+
+
+def test_daily_runs_from_slices_equal_those_from_whole_tables(spark, folder, as_rows):
+    results = []
+    for way in ("whole", "slices"):
+        warehouse, staging = Warehouse(spark, f"{folder}/{way}"), Store(spark, f"{folder}/{way}/staging")
+        for data, run_date in ((day_one(), None), (day_two(), "2010-01-03")):
+            stage_all(spark, staging, warehouse.log, data, run_date)
+            frames = staged_frames(staging, COLUMNS)
+            if way == "slices" and run_date:
+                frames |= {t: landed(staging, t) for t in ("company", "acquisition", "funds", "ipos", "milestones")}
+            warehouse.refresh_all(frames, run_date)
+        results.append(contents(warehouse, as_rows))
+    assert results[0] == results[1]
+
+
+def test_rounds_are_reduced_before_anything_else(spark):
+    rounds = frame(spark, "funding_rounds", [dict(funding_round_id=i, object_id="c:1") for i in ("1", "1.0", "2", "x", None)])
+    investments = frame(spark, "investments", [dict(investment_id="1", funding_round_id=i) for i in ("1", "1", "y", None)])
+    assert sorted(r.funding_round_id for r in rounds_of(investments, rounds).collect()) == ["1", "1.0"]
+    company = Dimension(spark.createDataFrame([("c:1", 1)], "company_nk string, company_id long"), 1)
+    built = build(BY_NAME["temp_funding_rounds"], rounds_of(investments, rounds), {"dim_company": company})
+    plan = built._jdf.queryExecution().optimizedPlan().toString()
+    # Inner nodes stand below outer ones: the reduction lies under the grouping and under the lookup.
+    assert plan.index("LeftSemi") > plan.index("Window") and plan.index("LeftSemi") > plan.index("LeftOuter")
+
+
+def test_investments_without_a_number_are_set_aside(spark, folder):
+    warehouse = Warehouse(spark, folder)
+    warehouse.refresh_calendar()
+    warehouse.refresh_table(BY_NAME["dim_company"], frame(spark, "company", [dict(object_id="c:1")]))
+    rows = [dict(investment_id=i, funding_round_id="1") for i in ("a", "b", "7")]
+    warehouse.refresh_participation(frame(spark, "investments", rows), frame(spark, "funding_rounds", [dict(funding_round_id="1")]))
+    assert [r.investment_nk for r in warehouse.table(PARTICIPATION).collect()] == [7]
+    assert [r.n_rejected for r in warehouse.log.read().filter(f"process = 'load' and table_name = '{PARTICIPATION}'").collect()] == [2]
+
+
+def test_checks_of_all_tables(spark, folder, as_rows):
+    warehouse, staging = Warehouse(spark, f"{folder}/w"), Store(spark, f"{folder}/s")
+    stage_all(spark, staging, warehouse.log, day_one())
+    warehouse.refresh_all(staged_frames(staging, COLUMNS))
+    assert set(warehouse.loaded()) == set(RULES)
+    logged = warehouse.log.read().filter("process = 'check'").collect()
+    assert [(r.status, r.n_rejected) for r in logged] == [("success", 0)]
+    people = warehouse.table("dim_people")
+    warehouse.store.commit("dim_people", people.unionByName(people).withColumn("last_name", F.lit("x" * 300)))
+    warehouse.store.commit("dim_company", warehouse.table("dim_company").filter("company_id = 1"))
+    assert warehouse.check() == 4 + 4
+    assert as_rows(warehouse.broken_rules().filter("violations > 0")) == [
+        ("dim_people", "max_length", "last_name", 2), ("dim_people", "unique", "people_id", 1), ("dim_people", "unique", "people_nk", 1)
+    ]
+    assert as_rows(warehouse.broken_references(), "table_name", "column_name", "dimension", "value", "n_rows") == [
+        ("fact_acquisition", "acquired_company_id", "dim_company", 2, 1),
+        ("fact_investment_round_participation", "investor_company_id", "dim_company", 2, 2),
+        ("fact_ipos", "company_id", "dim_company", 2, 1),
+    ]
+
+
 def test_dates_outside_the_calendar_are_set_aside(spark, folder):
     warehouse = Warehouse(spark, folder)
     warehouse.refresh_calendar()
@@ -167,7 +266,7 @@ def test_rows_without_a_key_are_set_aside_and_counted(spark, folder):
     rows = frame(spark, "funds", [dict(fund_id="1"), dict(fund_id="1"), dict(name="a"), dict(name="a"), dict(name="b")])
     stage(staging, log, "funds", rows, "source")
     assert [r.fund_id for r in staging.read("funds").collect()] == ["1"]
-    aside = spark.read.parquet(f"{staging.root}/_extracted/funds/run=full").filter("_keyed = 0")
+    aside = spark.read.parquet(f"{staging.root}/_landed/funds").filter("_keyed = 0")
     assert sorted(r.name for r in aside.collect()) == ["a", "a", "b"]
     stage(staging, log, "funds", rows.filter("fund_id is null"), "source")
     found = {(r.status, r.n_rejected) for r in log.read().collect()}
