@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starfold.session import new_folder
@@ -146,11 +146,13 @@ def hashed_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(starts, text_starts).astype(np.int64)
 
 
-_WORD = re.compile(r"[^\W\d_]+")
+# A word in the sense of Java's and this library's expressions alike: letters, and marks that follow one.
+LETTERS = r"\p{L}[\p{L}\p{M}]*"
+_WORD = regex.compile(LETTERS)
 
 
 def letter_words(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """The lower-case runs of letters of all texts: codes, the distinct words, and where each text's codes begin."""
+    """The lower-case words of all texts, as `LETTERS` has them: codes, the distinct words, and where each text's codes begin."""
     found = [_WORD.findall(t.lower()) for t in texts]
     begins = np.cumsum([0, *map(len, found)])
     codes, distinct = pd.factorize(np.array(list(chain.from_iterable(found)), dtype=object))

@@ -7,9 +7,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from starfold.llm.common import bounded, letter_words, text_steps, word_grams
+from starfold.llm.common import LETTERS, bounded, letter_words, stored, text_steps, word_grams
 
 # Bounds of what a model is fitted on and how large it may get.
 SAMPLE_ROWS = 6_000
@@ -33,17 +33,20 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_rows=
     """A model of the languages in `docs`, or None if no row has both a language and a word.
 
     It is fitted on `sample_rows` rows at most, those whose ids have the least hashes. Spark counts their words;
-    the `known_words` most frequent (language, word) counts come to the driver, and n-grams are counted from them.
+    the most frequent words of each language come to the driver, `known_words` in all and as many of each language, and
+    n-grams are counted from them.
     """
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     ids = known.select(F.col(id_col).alias("id")).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     sample = known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     sample = sample.join(F.broadcast(ids.distinct()), sample["id"].eqNullSafe(ids["id"]), "left_semi")
-    words = sample.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).filter("word != ''")
-    counts = words.groupBy("lang", "word").count().orderBy(F.desc("count"), "lang", "word").limit(known_words)
-    rows = counts.toPandas()
-    if rows.empty:
+    words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0))).alias("word"))
+    counts = stored(words.groupBy("lang", "word").count(), "word-counts")
+    n_languages = counts.select("lang").distinct().count()
+    if not n_languages:
         return None
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))
+    rows = counts.withColumn("rank", rank).filter(F.col("rank") <= max(1, known_words // n_languages)).drop("rank").toPandas()
     languages = sorted(rows["lang"].unique())
     table = rows.pivot_table(index="word", columns="lang", values="count", aggfunc="sum", fill_value=0)[languages]
     distinct, amounts = list(table.index), table.to_numpy(dtype=float)
