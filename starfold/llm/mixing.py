@@ -23,17 +23,19 @@ ROUNDS = 24
 PIECE_ROWS = 20_000
 
 
-def permuted(index: Column, size: Column, *key: Column, rounds: int = ROUNDS) -> Column:
-    """Where a keyed pseudorandom permutation of 0 .. size - 1 puts `index`.
+def permuted(index: Column, size: Column, *key: Column, rounds: int = ROUNDS, back: bool = False) -> Column:
+    """Where a keyed pseudorandom permutation of 0 .. size - 1 puts `index`, or with `back` what it puts there.
 
-    In each round the index and its mirror image at a keyed point are swapped or not, by a hash of the pair.
+    In each round the index and its mirror image at a keyed point are swapped or not, by a hash of the pair. A round
+    undoes itself, so the rounds in reverse order undo the permutation.
     """
 
     def swap(x: Column, i: Column) -> Column:
         mirror = F.pmod(F.xxhash64(F.lit("mirror"), i, *key) - x, size)
         return F.when(F.pmod(F.xxhash64(i, F.greatest(x, mirror), *key), F.lit(2)) == 0, mirror).otherwise(x)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), index.cast("long"), swap)
+    order = F.sequence(F.lit(rounds), F.lit(1)) if back else F.sequence(F.lit(1), F.lit(rounds))
+    return F.aggregate(order, index.cast("long"), swap)
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -47,9 +49,14 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
     return stored(same, "sizes")
 
 
-def targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, epochs=MOST_EPOCHS, block_words=BLOCK_WORDS) -> DataFrame:
+def targets(
+    sizes: DataFrame, weights=WEIGHTS, share=SHARE, epochs=MOST_EPOCHS, block_words=BLOCK_WORDS, seed: int = 0
+) -> DataFrame:
     """One row for each source: place by code point order (null last), source_size, target, blocks, slots, first slot.
 
+    `wanted` is the target in whole words and `slots` as many as hold it; the last one is filled in part. `missing` is
+    what the source's last block lacks, and `last_at` where each epoch's permutation puts that block.
+
     A target is the source's weight times a level that all share, `epochs` times its size at most; the level is such
     that the targets sum up to `share` of all words. In the order of the levels at which sources reach their limit,
     a source is limited if what the ones before leave for it and the rest would lift it above its own limit.
@@ -70,13 +77,23 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, epochs=MOST_EPOCHS,
     rows = rows.withColumn("common", level.over(every)["level"])
     target = F.when(F.col("free"), F.col("common") * F.col("weight")).otherwise(limit)
     rows = rows.withColumn("target", target).withColumn("blocks", F.ceil(F.col("source_size") / F.lit(block_words)))
-    slots = F.when(F.col("source_size") > 0, F.least(
-        F.round(F.col("target") / F.col("source_size") * F.col("blocks")), F.col("blocks") * epochs)).otherwise(0)
-    rows = rows.withColumn("slots", slots.cast("long"))
+    width, size = F.lit(block_words), F.col("source_size")
+    runs = [
+        permuted(F.col("blocks") - 1, F.col("blocks"), F.lit(seed), F.col("place").cast("int"), F.lit(e).cast("long"), back=True)
+        for e in range(int(epochs) + 1)
+    ]
+    rows = rows.withColumns({
+        "wanted": F.round("target").cast("long"), "missing": F.col("blocks") * width - size, "last_at": F.array(*runs)})
+    epoch = F.floor(F.col("wanted") / size)
+    rest = F.col("wanted") - epoch * size
+    n = F.ceil(rest / width)
+    short = (F.get("last_at", epoch.cast("int")) < n) & (n * width - F.col("missing") < rest)
+    slots = epoch * F.col("blocks") + n + short.cast("int")
+    rows = rows.withColumn("slots", F.when(size > 0, slots).otherwise(0).cast("long"))
     ends = F.sum("slots").over(Window.orderBy("place"))
     return rows.select(
         "source", F.col("place").cast("int").alias("place"), "source_size", "target", "n_rows", "blocks", "slots",
-        (ends - F.col("slots")).alias("first_slot"),
+        "wanted", "missing", "last_at", (ends - F.col("slots")).alias("first_slot"),
     )
 
 
@@ -110,8 +127,8 @@ def packed(sizes: DataFrame, sources: DataFrame, block_words=BLOCK_WORDS, piece_
         "place", "block", "doc_id", "hash", "offset", start.alias("start"), (end - start).alias("n_words"))
 
 
-def drawn(sources: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """(shard, slot, place, epoch, block): what every slot of the mix holds.
+def drawn(sources: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(shard, slot, place, epoch, block, filled): what every slot of the mix holds, and at most how many words of it.
 
     The slots of all shards are numbered, and a permutation deals the sources' slots out to them: the counts of the
     sources in a shard are multinomial draws, given that over all shards each source gets its `slots`. A source's slots
@@ -126,7 +143,7 @@ def drawn(sources: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) ->
     # The source whose range of slots holds a number; ranges are met by the cells of a grid that they cover.
     cell = F.lit(max(1, -(-total // 1024)))
     ranges = sources.filter("slots > 0").select(
-        "place", "slots", "blocks", "first_slot",
+        "place", "slots", "blocks", "first_slot", "source_size", "wanted", "missing", "last_at",
         F.explode(F.sequence(F.floor(F.col("first_slot") / cell), F.floor((F.col("first_slot") + F.col("slots") - 1) / cell)))
         .alias("cell"),
     )
@@ -139,8 +156,13 @@ def drawn(sources: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) ->
     numbered = dealt.withColumn("within", within).join(counts, ["shard", "place"])
     number = F.col("before") + F.col("within")
     epoch = F.floor(number / F.col("blocks"))
+    # Where a slot's words begin among those that the source gives: full blocks before it, but for the last block.
+    nth = F.pmod(number, "blocks")
+    lacks = F.when(F.get("last_at", epoch.cast("int")) < nth, F.col("missing")).otherwise(0)
+    begin = epoch * F.col("source_size") + nth * F.lit(block_words) - lacks
     return numbered.select(
         "shard", "slot", "place", epoch.alias("epoch"),
+        F.least(F.lit(block_words), F.col("wanted") - begin).alias("filled"),
         permuted(F.pmod(number, "blocks"), F.col("blocks"), F.lit(seed), F.col("place"), epoch).alias("block"),
     )
 
@@ -161,14 +183,17 @@ class Mix:
         self.docs = docs.select(
             F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
         self.sizes = sized(docs, id_col, text_col, source_col)
-        self.sources = stored(targets(self.sizes, weights, share, epochs, block_words), "sources")
+        self.sources = stored(targets(self.sizes, weights, share, epochs, block_words, seed), "sources")
         self.stretches = packed(self.sizes, self.sources, block_words)
-        self.slots = drawn(self.sources, seed, shard_slots)
+        self.slots = drawn(self.sources, seed, shard_slots, block_words)
+        self.block_words = block_words
 
     def taken(self) -> DataFrame:
         """(doc_id, size, source_size, target, taken) of every row of the documents."""
-        held = self.stretches.join(self.slots.select("place", "block"), ["place", "block"])
-        words = held.groupBy("place", "doc_id", "hash").agg(F.sum("n_words").alias("words"))
+        held = self.stretches.join(self.slots.select("place", "block", "filled"), ["place", "block"])
+        begin = F.col("offset") + F.col("start") - F.col("block") * F.lit(self.block_words)
+        kept = F.greatest(F.lit(0), F.least("n_words", F.col("filled") - begin))
+        words = held.groupBy("place", "doc_id", "hash").agg(F.sum(kept).alias("words"))
         words = words.toDF("p", "d", "h", "words")
         rows = self.sizes.join(
             self.sources.select(F.col("source").alias("name"), "place", "source_size", "target"),
@@ -217,7 +242,11 @@ class Mix:
             F.sum("n_words").alias("n_words"), F.sort_array(F.collect_list(F.struct("at", "text"))).alias("parts"))
         text = F.array_join(F.transform("parts", lambda p: p["text"]), " ")
         return (
-            self.slots.join(blocks.select("place", "block", "n_words", text.alias("text")), ["place", "block"])
+            self.slots.join(blocks.select("place", "block", F.col("n_words").alias("n"), text.alias("whole")), ["place", "block"])
             .join(names, "place")
-            .select("shard", "slot", F.col("name").alias("source"), "epoch", "block", "n_words", "text")
+            .select(
+                "shard", "slot", F.col("name").alias("source"), "epoch", "block", F.least("n", "filled").alias("n_words"),
+                F.when(F.col("filled") >= F.col("n"), F.col("whole"))
+                .otherwise(F.array_join(F.slice(F.split("whole", " "), F.lit(1), F.col("filled").cast("int")), " ")).alias("text"),
+            )
         )
