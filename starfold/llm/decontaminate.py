@@ -208,7 +208,9 @@ def without_items(
 ) -> DataFrame:
     """The rows of `docs`, with all their columns, in which no item stands in the sense of `contaminated`."""
     place = docs.columns.index(text_col)
-    for wanted in _item_blocks(items, item_col, item_text_col, block_chars):
+    # Which item stands in a text does not matter here, so one without an id is looked for as well.
+    named = items.withColumn(item_col, F.coalesce(F.col(item_col).cast("string"), F.lit("")))
+    for wanted in _item_blocks(named, item_col, item_text_col, block_chars):
 
         def run(batches: Iterator[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
             finder = Finder(wanted.value, errors)

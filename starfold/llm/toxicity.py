@@ -8,6 +8,7 @@ of its repeats and at the end of a short window.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from starfold.llm.common import bounded, letter_words, mix, span_sums, steps, text_steps, word_grams
 
+_log = logging.getLogger(__name__)
+
 # Bounds of what a model is fitted on: labelled rows, and code points of their texts.
 SAMPLE_ROWS = 3_000
 SAMPLE_CHARS = 12_000_000
@@ -187,14 +190,14 @@ def score(model: Model | None, texts: list[str]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic",
-        sample_rows=SAMPLE_ROWS, sample_chars=SAMPLE_CHARS) -> Model | None:
+        sample_rows=SAMPLE_ROWS, sample_chars=SAMPLE_CHARS) -> Model | float | None:
     """A model of the labelled rows of `docs`; None if `docs` has no labelled row.
 
     It is fitted on `sample_rows` ids at most, those with the least hashes. If their texts together have more than
     `sample_chars` code points, the longest ones are left out, as few as bring the rest below it, so a very long text
     never takes the place of the others. Only the ids of labels are sorted; texts are fetched for the chosen ones.
     A label of null is no label; an id with several labels counts as toxic if one of them is 1. Labelled rows that no
-    model can be learnt from, as all have one label or no words, are an error.
+    model can be learnt from, as all have one label or no words, give their share of label 1, which is logged.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
@@ -213,16 +216,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
         sample = rows.join(F.broadcast(part), "id").toPandas().sort_values(["id", "text"])
         model = train(sample["text"].tolist(), sample["label"].tolist())
     if model is None:
-        raise ValueError(
-            f"no toxicity model from {len(kept)} of {len(sizes)} labelled texts: they need words and both labels"
-        )
+        toxic = float(rows.agg(F.avg("label")).first()[0])
+        _log.warning("no toxicity model from %d of %d labelled texts; all score %.2f", len(kept), len(sizes), toxic)
+        return toxic
     return model
 
 
-def rate(docs: DataFrame, model: Model | None, id_col="doc_id", text_col="text", threshold=THRESHOLD) -> DataFrame:
+def rate(docs: DataFrame, model: Model | float | None, id_col="doc_id", text_col="text", threshold=THRESHOLD) -> DataFrame:
     """(id_col, score, predicted) of every row; predicted is 1 where score is at least `threshold`.
 
-    Null and empty texts, texts without letters, and all texts if there is no model score 0. Equal texts score alike.
+    Null and empty texts, texts without letters, and all texts if there is no model score 0; all score alike if the model
+    is but a share. Equal texts score alike.
     Extra columns are ignored; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -230,7 +234,9 @@ def rate(docs: DataFrame, model: Model | None, id_col="doc_id", text_col="text",
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for step in steps(batches, "text"):
-            found = score(shared.value, step["text"].tolist())
+            known = shared.value
+            texts = step["text"].tolist()
+            found = np.full(len(texts), known) if isinstance(known, float) else score(known, texts)
             yield pd.DataFrame({"id": step["id"], "score": found, "predicted": (found >= threshold).astype("int32")})
 
     kind = rows.schema["id"].dataType.simpleString()
