@@ -12,14 +12,17 @@ block's distinct pairs, not the tokens of its documents.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,12 +33,15 @@ BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 # Code points of a block; a longer text is a block of its own.
 BLOCK_CHARS = 2_000_000
-# Code points that a tokenizer is given at once; longer texts are cut where no token can reach over.
-SLICE_CHARS = 200_000
+# Words and token ids that a task remembers before it starts anew.
+REMEMBERED = 300_000
+REMEMBERED_IDS = 4_000_000
 
 _SPACE = "▁"
-# A blank between two other characters: both tokenizers begin a token with it.
-_CUT = re.compile(r"(?<=[^\s▁])\x20(?=[^\s▁])")
+# A blank between two other characters: both tokenizers begin a token with it, and what stands before has no effect.
+_CUT = re.compile(r"\x20(?<=[^\s▁]\x20)(?=[^\s▁])")
+# Fixed value: how the byte-level vocabulary splits a text before merging.
+_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -45,41 +51,31 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def slices(text: str, chars: int = SLICE_CHARS) -> list[str]:
-    """`text`, which begins with a blank, in parts of about `chars` that each begin with a blank."""
-    parts, first = [], 0
-    while len(text) - first > chars:
-        found = _CUT.search(text, first + chars)
-        if found is None:
-            break
-        parts.append(text[first : found.start()])
-        first = found.start()
-    return [*parts, text[first:]]
+def words(text: str) -> list[str]:
+    """`text` cut at each blank between two other characters."""
+    return _CUT.split(text)
 
 
 class Tokenizers:
     """The two tokenizers, and the bytes of each of their ids."""
 
     def __init__(self, byte_vocabulary: str = BYTE_VOCABULARY, piece_vocabulary: str = PIECE_VOCABULARY):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel parts.
-        import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.byte_level = Tokenizer.from_file(byte_vocabulary)
-        self.byte_level.encode_special_tokens = True  # Their strings in a text are ordinary text.
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_vocabulary)
-        alphabet = byte_alphabet()
-        entries = self.byte_level.get_vocab(with_added_tokens=True)
-        self.a_bytes = [b""] * (max(entries.values()) + 1)
-        for entry, i in entries.items():
-            known = all(c in alphabet for c in entry)
-            self.a_bytes[i] = bytes(map(alphabet.get, entry)) if known else entry.encode()
+        with open(byte_vocabulary, encoding="utf-8") as file:
+            listed = json.load(file)
+        alphabet, special = byte_alphabet(), {t["content"] for t in listed["added_tokens"]}
+        entries = {i: bytes(map(alphabet.get, e)) for e, i in listed["model"]["vocab"].items() if e not in special}
+        self.a_bytes = [entries.get(i, b"") for i in range(max(entries) + 1)]
+        # Ids are in the order of merges. Special tokens are left out: their strings in a text are ordinary text.
+        ranks = {entry: i for i, entry in entries.items()}
+        self.byte_level = tiktoken.Encoding("own", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.b_bytes = [self._piece_bytes(i) for i in range(self.pieces.get_piece_size())]
         self.a_sizes = np.fromiter(map(len, self.a_bytes), np.int64, len(self.a_bytes))
         self.b_sizes = np.fromiter(map(len, self.b_bytes), np.int64, len(self.b_bytes))
         # A text may be cut before a blank only if no piece goes on over one.
         listed = (self.pieces.id_to_piece(i) for i in range(len(self.b_bytes)))
         self.divisible = not any(_SPACE in piece.lstrip(_SPACE) for piece in listed)
+        self._forget()
         self.a_names, self.b_names = _names(len(self.a_bytes), ",|"), _names(len(self.b_bytes), ",;")
 
     def _piece_bytes(self, i: int) -> bytes:
@@ -87,20 +83,75 @@ class Tokenizers:
             return bytes([int(self.pieces.id_to_piece(i)[3:-1], 16)])
         return self.pieces.id_to_piece(i).replace(_SPACE, " ").encode()
 
+    def _forget(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.changed = np.empty(0, bool)
+        # For both sides the ids of all remembered words, one after another, and where each word's begin.
+        self.ids = [np.empty(0, np.int64), np.empty(0, np.int64)]
+        self.begins = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+
+    def _learn(self, parts: set[str]) -> None:
+        """Remember the ids of both sides of each part after a blank, and whether B's pieces give it back; A's always do."""
+        listed = list(parts)
+        both = [self.byte_level.encode_ordinary(" " + part) for part in listed], self.pieces.encode(listed, num_threads=1)
+        back = (b"".join(map(self.b_bytes.__getitem__, ids)) for ids in both[1])
+        changed = np.fromiter((own != b" " + part.encode() for own, part in zip(back, listed)), bool, len(listed))
+        self.changed = np.concatenate((self.changed, changed))
+        for side, lists in enumerate(both):
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            ids = np.fromiter(chain.from_iterable(lists), np.int64, sizes.sum())
+            self.begins[side] = np.concatenate((self.begins[side], self.begins[side][-1] + np.cumsum(sizes)))
+            self.ids[side] = np.concatenate((self.ids[side], ids))
+        self.codes.update(zip(listed, range(len(self.codes), len(self.codes) + len(listed))))
+
+    def _ids_of(self, side: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words one after another, and how many each has."""
+        first = self.begins[side][codes]
+        sizes = self.begins[side][codes + 1] - first
+        shift = first - (np.cumsum(sizes) - sizes)
+        return self.ids[side][np.arange(sizes.sum()) + np.repeat(shift, sizes)], sizes
+
+    def encode_all(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each side the ids of all texts, one text after another, and where each text's begin (one more than texts).
+
+        A text has none if it is null or empty, or if either side does not give back its bytes after a blank.
+        """
+        texts = list(map(_encodable, texts))
+        cut = [(words(t) if self.divisible else [t]) if t else [] for t in texts]
+        if len(self.codes) >= REMEMBERED or len(self.ids[0]) >= REMEMBERED_IDS:
+            self._forget()
+        new = set(chain.from_iterable(cut)).difference(self.codes)
+        if new:
+            self._learn(new)
+        ends = np.cumsum([0, *map(len, cut)])
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(cut)), np.int64, ends[-1])
+        owner = np.repeat(np.arange(len(texts)), np.diff(ends))
+        differs = [
+            # Pieces that differ from their words could only together give the text back.
+            i for i in np.unique(owner[self.changed[codes]])
+            if b"".join(self.b_bytes[x] for x in self._ids_of(1, codes[ends[i] : ends[i + 1]])[0]) != (" " + texts[i]).encode()
+        ]
+        if differs:
+            kept = ~np.isin(owner, differs)
+            codes, owner = codes[kept], owner[kept]
+        out = []
+        for side in range(2):
+            ids, sizes = self._ids_of(side, codes)
+            out.append((ids, np.cumsum([0, *np.bincount(owner, sizes, len(texts)).astype(np.int64)])))
+        return out
+
     def encode(self, text: str | None) -> tuple[list[int], list[int]]:
-        """The ids of both sides; none if the text is null or empty or if either side does not give its bytes back."""
-        if not text:
-            return [], []
-        spaced = " " + text
-        parts = slices(spaced) if self.divisible else [spaced]
-        try:
-            whole = spaced.encode()
-        except UnicodeEncodeError:  # Half of a surrogate pair has no UTF-8.
-            return [], []
-        a = [i for part in parts for i in self.byte_level.encode(part, add_special_tokens=False).ids]
-        b = [i for ids in self.pieces.encode([part[1:] for part in parts], num_threads=1) for i in ids]
-        same = all(b"".join(map(table.__getitem__, ids)) == whole for table, ids in ((self.a_bytes, a), (self.b_bytes, b)))
-        return (a, b) if same else ([], [])
+        (a, _), (b, _) = self.encode_all([text])
+        return a.tolist(), b.tolist()
+
+
+def _encodable(text: str | None) -> str | None:
+    """`text`, or None if it has no UTF-8, as half of a surrogate pair."""
+    try:
+        (text or "").encode()
+    except UnicodeEncodeError:
+        return None
+    return text
 
 
 def _names(n: int, separators: str) -> np.ndarray:
@@ -135,13 +186,12 @@ class Aligned:
         return np.searchsorted(self.a_begins, places, side="right") - 1
 
 
-def align(encoded: list[tuple[list[int], list[int]]], sizes: tuple[np.ndarray, np.ndarray]) -> Aligned:
+def align(encoded: list[tuple[np.ndarray, np.ndarray]], sizes: tuple[np.ndarray, np.ndarray]) -> Aligned:
+    """How the tokens of both sides (see `Tokenizers.encode_all`) overlap; `sizes` are the bytes of each id of a side."""
     sides = []
-    for side in range(2):
-        begins = np.cumsum([0, *(len(e[side]) for e in encoded)])
-        ids = np.fromiter((i for e in encoded for i in e[side]), np.int64, begins[-1])
-        ends = np.cumsum(sizes[side][ids])
-        frame = pd.DataFrame({"doc": np.repeat(np.arange(len(encoded)), np.diff(begins)), "start": ends - sizes[side][ids]})
+    for (ids, begins), size in zip(encoded, sizes):
+        ends = np.cumsum(size[ids])
+        frame = pd.DataFrame({"doc": np.repeat(np.arange(len(begins) - 1), np.diff(begins)), "start": ends - size[ids]})
         sides.append((ids, begins, ends, frame))
     (a_ids, a_begins, a_ends, a), (b_ids, b_begins, b_ends, b) = sides
     places_a, places_b = np.arange(len(a)), np.arange(len(b))
@@ -152,11 +202,13 @@ def align(encoded: list[tuple[list[int], list[int]]], sizes: tuple[np.ndarray, n
         covering_a = covering_b = np.empty(0, np.int64)
     # Tokens that start together are found in both directions.
     own = a["start"].to_numpy()[covering_a] != b["start"].to_numpy()
-    common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-    a_groups, b_groups = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
-    group_begins = np.concatenate((a_groups, [len(common)]))[a_begins]
+    ends_of_a, ends_of_b = (np.zeros(a_ends[-1] + 1 if len(a) else 1, bool) for _ in range(2))
+    ends_of_a[a_ends], ends_of_b[b_ends] = True, True
+    a_last, b_last = ends_of_b[a_ends], ends_of_a[b_ends]
+    a_groups, b_groups = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+    group_begins = np.concatenate((a_groups, [a_last.sum()]))[a_begins]
     return Aligned(
-        a_ids, b_ids, a_begins, b_begins, a_groups, b_groups, common, group_begins,
+        a_ids, b_ids, a_begins, b_begins, a_groups, b_groups, a_ends[a_last], group_begins,
         np.concatenate((places_a, covering_a[own])), np.concatenate((covering_b, places_b[own])),
     )
 
@@ -166,13 +218,15 @@ def group_texts(found: Aligned, tokenizers: Tokenizers) -> list[str]:
     n_a, n_b = len(found.a_ids), len(found.b_ids)
     last_a = np.append(found.a_groups[1:] != found.a_groups[:-1], True)[:n_a]
     last_b = np.append(found.b_groups[1:] != found.b_groups[:-1], True)[:n_b]
+    # Tokens of all groups up to one, on either side.
+    a_until, b_until = np.flatnonzero(last_a) + 1, np.concatenate(([0], np.flatnonzero(last_b) + 1))
     after_b = last_b.astype(np.int64)
     after_b[found.b_begins[1:][np.diff(found.b_begins) > 0] - 1] = 2
     merged = np.empty(n_a + n_b, object)
-    merged[np.arange(n_a) + np.searchsorted(found.b_groups, found.a_groups)] = (
+    merged[np.arange(n_a) + b_until[found.a_groups]] = (
         tokenizers.a_names[last_a.astype(np.int64), found.a_ids]
     )
-    merged[np.arange(n_b) + np.searchsorted(found.a_groups, found.b_groups, side="right")] = (
+    merged[np.arange(n_b) + a_until[found.b_groups]] = (
         tokenizers.b_names[after_b, found.b_ids]
     )
     parts, begins = merged.tolist(), found.a_begins + found.b_begins
@@ -220,14 +274,14 @@ def _block_rows(make: Callable[[], Tokenizers], chars: int, digest: bool):
 
 def _block_batch(block: int, ids: list, texts: list, tokenizers: Tokenizers, digest: bool) -> pa.RecordBatch:
     """A row for each text, and one more with the block's distinct pairs."""
-    found = align([tokenizers.encode(t) for t in texts], (tokenizers.a_sizes, tokenizers.b_sizes))
+    found = align(tokenizers.encode_all(texts), (tokenizers.a_sizes, tokenizers.b_sizes))
     n = len(texts)
     groups = group_texts(found, tokenizers)
     if digest:
         groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
     owner = found.texts_of(found.links_a)
     pair = (found.a_ids[found.links_a] << _PAIR_BITS) | found.b_ids[found.links_b]
-    pairs, codes = np.unique(pair, return_inverse=True)
+    codes, pairs = pd.factorize(pair)
     held, times = np.unique(owner * len(pairs) + codes, return_counts=True)
     holder, codes = np.divmod(held, max(len(pairs), 1))
     begins = np.searchsorted(holder, np.arange(n + 1))
@@ -314,7 +368,7 @@ def overlaps(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers = make()
         for ids, texts in _blocks(batches, block_chars):
-            found = align([tokenizers.encode(t) for t in texts], (tokenizers.a_sizes, tokenizers.b_sizes))
+            found = align(tokenizers.encode_all(texts), (tokenizers.a_sizes, tokenizers.b_sizes))
             if not len(found.ends):
                 continue
             text = np.repeat(np.arange(len(texts)), np.diff(found.group_begins))

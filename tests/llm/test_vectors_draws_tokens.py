@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from compare import connect, differences
-from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from starfold.llm import cap_filters, importance, queries, token_overlaps
 from starfold.llm.oracles import ORACLES
@@ -259,21 +259,22 @@ def test_alignment_query_on_the_driver_table(spark, tokenizers):
         assert (row.n_a, row.n_b, row.n_groups, row.n_links, row.groups_sha256) == (len(a), len(b), len(groups), len(links), digest)
 
 
-def test_long_texts_are_cut_without_effect(tokenizers):
+def test_words_are_encoded_as_the_whole_text_is(spark, tokenizers):
+    """By the library that the vocabulary file is made for, special strings as plain text."""
+    reference = Tokenizer.from_file(token_overlaps.BYTE_VOCABULARY)
+    reference.encode_special_tokens = True
     r = random.Random(9)
-    word = ["a", "Straße", "don't", "", "12", "x.", "▁", "日本", "\n", "end\t", "unbelievable"]
-    text = " " + " ".join(r.choice(word) for _ in range(20_000))
-    parts = token_overlaps.slices(text, 500)
-    assert len(parts) > 20 and "".join(parts) == text and all(p[0] == " " for p in parts)
+    word = ["a", "Straße", "don't", "", "12", "x.", "▁", "日本", "\n", "end\t", "unbelievable", "<|endoftext|>", "\u0301x", "\xa0"]
+    texts = [t for t in ODD_TEXTS if t] + [" ".join(r.choice(word) for _ in range(3000))]
+    texts += [t.text for t in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect() if t.text]
     assert tokenizers.divisible
-    whole = (
-        tokenizers.byte_level.encode(text, add_special_tokens=False).ids, tokenizers.pieces.encode(text[1:], num_threads=1)
-    )
-    cut = (
-        [i for p in parts for i in tokenizers.byte_level.encode(p, add_special_tokens=False).ids],
-        [i for p in parts for i in tokenizers.pieces.encode(p[1:], num_threads=1)],
-    )
-    assert cut == whole
+    for text in texts:
+        assert " ".join(token_overlaps.words(text)) == text
+        a = reference.encode(" " + text, add_special_tokens=False).ids
+        b = tokenizers.pieces.encode(text, num_threads=1)
+        back = b"".join(map(tokenizers.b_bytes.__getitem__, b)) == (" " + text).encode()
+        assert tokenizers.encode(text) == ((a, b) if back else ([], []))
+        assert b"".join(map(tokenizers.a_bytes.__getitem__, a)) == (" " + text).encode()
 
 
 def test_overlaps_hold_the_groups(spark, tokenizers):
