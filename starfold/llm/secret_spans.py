@@ -26,13 +26,25 @@ _ENCODED = re.compile(r"[A-Za-z0-9+/](?:[A-Za-z0-9+/]|\r?\n(?=[A-Za-z0-9+/])){38
 # Where a key may start in base64: the tag of a sequence and a length, or the magic of the length-prefixed kind.
 _START = re.compile(r"M(?=[A-P\r\n])|b3Bl")
 _PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
-_HEX_ANY = re.compile(r"(?:[0-9A-Fa-f]{2}){32,}")
+# Hex digits that colons, or line ends and indentation, may part.
+_HEX_ANY = re.compile(r"[0-9A-Fa-f](?:(?::?\r?\n[ \t]{0,16}|:)?+[0-9A-Fa-f]){63,}+")
+_HEX_COLONS = re.compile(r"(?:[0-9A-Fa-f]{2}:){8}")
+_NO_DIGIT = re.compile(r"[^0-9A-Fa-f]+")
+# Where a key may start in hex digits: a sequence, its length and a version of 0 or 1, or the magic.
+_HEX_START = re.compile(
+    r"(?=30(?:[0-7].|81.{2}|82.{4}|83.{6}|84.{8})02010[01]|6f70656e7373682d6b65792d763100)"
+)
 # What a text must hold for the slower patterns to be tried on it.
 _LONG_RUN = re.compile(r"[A-Za-z0-9+/_-]{32,}")
 _MAGIC = b"openssh-key-v1\0"
 _NAMES = ("passw", "secret", "token", "key")
 _HEADERS = ("eyJ", "eyA", "ewo", "ew0")
-_SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]{16,}")
+_HEADER = re.compile("|".join(_HEADERS))
+# Dotted parts; each run is tried from its first character alone, so that long runs take time in proportion.
+_DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]++){2,}+")
+_JSON = json.JSONDecoder()
+# How an object with a member begins; a failed parse is far dearer than a failed match.
+_MEMBER = re.compile(r'\s*\{\s*"(?:[^"\\]|\\.)*+"\s*:')
 
 
 def _element(data: bytes, at: int) -> tuple[int, int, int] | None:
@@ -118,7 +130,7 @@ def is_signed_token(text: str) -> bool:
     try:
         header = json.loads(_decoded(parts[0]) or b"")
         payload = _decoded(parts[1])
-    except ValueError:
+    except (ValueError, RecursionError):
         return False
     if not isinstance(header, dict) or payload is None or _decoded(parts[2]) is None:
         return False
@@ -196,12 +208,86 @@ def _longest(text: str, at: int) -> bytes:
     return _decoded(plain[: len(plain) // 4 * 4 + (len(plain) % 4 if len(plain) % 4 != 1 else 0)]) or b""
 
 
+def keys_in_hex(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of keys in the hex digits of a range, whatever digits stand right before or after them.
+
+    A key may start at any digit and ends where its own lengths say; what parts the digits is passed over.
+    """
+    run = text[start:end]
+    digits = _NO_DIGIT.sub("", run).lower()
+    out, at = [], 0
+    while (m := _HEX_START.search(digits, at)) is not None:
+        begin = m.start()
+        at, kind, size = begin + 1, None, None
+        if digits.startswith("30", begin):
+            n = int(digits[begin + 2 : begin + 4], 16)
+            more = n & 0x7F if n & 0x80 else 0
+            size = 2 + more + (int(digits[begin + 4 : begin + 4 + 2 * more], 16) if more else n)
+            if 2 * size <= len(digits) - begin and is_private_key(bytes.fromhex(digits[begin : begin + 2 * size])):
+                kind = "der"
+        else:
+            left = len(digits) - begin
+            size = openssh_size(bytes.fromhex(digits[begin : begin + left // 2 * 2]))
+            kind = "openssh" if size else None
+        if kind:
+            at = begin + 2 * size
+            out.append((kind, begin, at))
+    if out and len(digits) < len(run):
+        places = [i for i, c in enumerate(run) if c not in ": \t\r\n"]
+        out = [(kind, places[a], places[b - 1] + 1) for kind, a, b in out]
+    return [(kind, start + a, start + b) for kind, a, b in out]
+
+
+def _header_starts(part: str) -> list[int]:
+    """Places in a part from which the rest of it decodes to a JSON object.
+
+    A part is decoded once for each place of its first character in a group of four, not once for each place.
+    """
+    out, plain = [], {}
+    for begin in dict.fromkeys([0, *(m.start() for m in _HEADER.finditer(part))]):
+        lead = begin % 4
+        if lead not in plain:
+            plain[lead] = (_decoded(part[lead:]) or b"").decode("latin-1").rstrip()
+        if _MEMBER.match(plain[lead], begin // 4 * 3) is None:
+            continue
+        try:
+            if _JSON.raw_decode(plain[lead], begin // 4 * 3)[1] == len(plain[lead]):
+                out.append(begin)
+        except (ValueError, RecursionError):
+            continue
+    return out
+
+
+def tokens_within(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
+    """Signed tokens among the dotted parts of a range: each part, and each place in it, may begin the header.
+
+    Of a last part that has one character too many for base64 that character is left out.
+    """
+    parts, out, i, at = text[start:end].split("."), [], 0, start
+    places = []
+    for part in parts:
+        places.append(at)
+        at += len(part) + 1
+    while i + 2 < len(parts):
+        header, payload, sign = parts[i : i + 3]
+        if len(sign) % 4 == 1:
+            sign = sign[:-1]
+        found = None
+        if len(header) >= 8 and len(payload) >= 2 and len(sign) >= 16 and any(h in header for h in _HEADERS):
+            starts = (p for p in _header_starts(header) if len(header) - p >= 8)
+            found = next((p for p in starts if is_signed_token(f"{header[p:]}.{payload}.{sign}")), None)
+        if found is not None:
+            out.append(("jwt", places[i] + found, places[i + 2] + len(sign)))
+        i += 1 if found is None else 3
+    return out
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all secrets, ordered by start and then kind; code points, end exclusive.
 
     Kinds `assign`, `access` and `hex` go by their wording. Candidates in base64 or hex are reported as `der` or
-    `openssh` if they decode to a private key, and dotted ones as `jwt` if they are signed tokens. A run of base64 that
-    is not a key as a whole is searched for keys that begin anywhere in it, so that words joined to a key don't hide it.
+    `openssh` if they decode to a private key, and dotted ones as `jwt` if they are signed tokens. Keys and tokens may
+    begin anywhere in a run, so that words or digits joined to one don't hide it.
     """
     spans, lower = [], text.lower()
     if any(name in lower for name in _NAMES):
@@ -209,20 +295,22 @@ def find(text: str) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         spans += [("access", *m.span()) for m in _ACCESS.finditer(text)]
     if any(header in text for header in _HEADERS):
-        spans += [("jwt", *m.span()) for m in _SIGNED.finditer(text) if is_signed_token(m[0])]
-    if _LONG_RUN.search(text):
+        for m in _DOTTED.finditer(text):
+            spans += tokens_within(text, *m.span())
+    long_run = _LONG_RUN.search(text)
+    if long_run:
         spans += [("hex", *m.span()) for m in _HEX.finditer(text)]
-        for pattern, decode in ((_ENCODED, _decoded), (_HEX_ANY, bytes.fromhex)):
-            for m in pattern.finditer(text):
-                data = decode(m[0])
-                if data and is_private_key(data):
-                    spans.append(("der", *m.span()))
-                elif data and is_openssh_key(data) and openssh_size(data) == len(data):
-                    spans.append(("openssh", *m.span()))
-                elif pattern is _ENCODED:
-                    spans += keys_within(text, *m.span())
-                elif data and is_openssh_key(data):
-                    spans.append(("openssh", *m.span()))
+        for m in _ENCODED.finditer(text):
+            data = _decoded(m[0])
+            if data and is_private_key(data):
+                spans.append(("der", *m.span()))
+            elif data and openssh_size(data) == len(data):
+                spans.append(("openssh", *m.span()))
+            else:
+                spans += keys_within(text, *m.span())
+    if long_run or _HEX_COLONS.search(text):
+        for m in _HEX_ANY.finditer(text):
+            spans += keys_in_hex(text, *m.span())
     return sorted(set(spans), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -278,7 +366,6 @@ def scan_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 
-
 def redacted(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
     """The rows of `docs` with secrets in their texts replaced by a mark, and the sizes of such texts counted anew.
 

@@ -176,6 +176,106 @@ def test_words_joined_to_a_key_do_not_hide_it():
     assert secret_spans.keys_within("M" * 5000 + "\n" + "MIIB" * 900, 0, 8601) == []
 
 
+def test_digits_joined_to_a_hex_key_do_not_hide_it():
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    ssh = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big")
+    keys = [
+        der(0x30, der(2, b"\0") + b"".join(der(2, bytes([n, 255, 254]) * 40) for n in range(1, 9))),
+        der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a\x03")) + der(4, b"\xfb\xff" * 33)),
+        der(0x30, der(2, b"\1") + der(4, b"\x30\x82" * 16)),
+        ssh + field(b"p" * 51) + field(b"k" * 80),
+    ]
+    for key in keys:
+        plain = key.hex()
+        for code in (
+            plain, plain.upper(), key.hex(":"), key.hex("\n", 30), "\r\n    ".join(key.hex(":", 1)[i : i + 45] for i in range(0, 3 * len(key), 45)),
+        ):
+            for before, after in (("", ""), ("a", ""), ("be", ""), ("", "ab"), ("3082", "0"), ("my key\n", "\nbye"), ("x ", " y")):
+                text = before + code + after
+                found = secret_spans.find(text)
+                spans = [(a, b) for k, a, b in found if k in ("der", "openssh")]
+                assert (len(before), len(before) + len(code.rstrip(":\r\n "))) in spans, (before, after, code[:40])
+                assert plain not in secret_spans.redact(text, found).lower()
+        assert not [k for k, _, _ in secret_spans.find(plain[:-2]) if k == "der"]
+
+
+def test_words_joined_to_a_token_do_not_hide_it():
+    import base64
+    import json
+    import time
+
+    plain = lambda value: base64.urlsafe_b64encode(json.dumps(value).encode()).decode().rstrip("=")
+    header = {"typ": "JWT", "alg": "HS256", "jwk": {"kty": "é"}}
+    token = f"{plain(header)}.{plain({'sub': 1})}.{'s' * 43}"
+    for before in ("", "auth_header.", "authtoken.", "Bearer_", "www.example-site.", "x", "xy", "xyz", "a.b.c.d."):
+        for after in ("", " ", ".", "s", ".html"):
+            text = f"see {before}{token}{after}"
+            least = 4 + len(before)
+            spans = [(a, b) for k, a, b in secret_spans.find(text) if k == "jwt"]
+            if after == "s":
+                assert spans == [(least, least + len(token) + 1)], (before, after)
+            else:
+                assert spans == [(least, least + len(token))], (before, after)
+    two = [(a, b) for k, a, b in secret_spans.find(f"{token}.{token}") if k == "jwt"]
+    assert two == [(0, len(token)), (len(token) + 1, 2 * len(token) + 1)]
+    none = f"{plain({'alg': 'none'})}.{plain({'sub': 1})}.{'s' * 43}"
+    assert not secret_spans.find(none)
+    # Long runs take time in proportion, and deep nesting is no error.
+    began = time.time()
+    deep = base64.b64encode(b'{"a":' * 50_000).decode()
+    for run in ("eyJ" + "a" * 1_000_000, "eyJ" * 300_000 + ".aa." + "b" * 20, "3082" * 250_000, "a." * 500_000 + "eyJ", "0\n" * 500_000):
+        secret_spans.find(run)
+    secret_spans.find(f"{deep}.aaaa.{'b' * 20}")
+    assert time.time() - began < 20
+
+
+def test_base_kinds_agree_with_a_plain_scan():
+    import random
+
+    draw = random.Random(7)
+    bits = ["AKIA", "A", "0", "f", "ab12" * 9, "password", "TOKEN", "api_key", "apikey", '"', "'", " ", ":", "=", "x/+", "é", "\n", "Z9" * 8, "G"]
+    for _ in range(3000):
+        text = "".join(draw.choice(bits) for _ in range(draw.randrange(40)))
+        expected, at = [], 0
+        for kind, head, letters, least in (
+            ("access", "AKIA", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16), ("hex", "", "0123456789abcdef", 32),
+        ):
+            at = 0
+            while at < len(text):
+                end = at + len(head)
+                while end < len(text) and text[end] in letters:
+                    end += 1
+                if text.startswith(head, at) and end > at + len(head):
+                    expected += [(kind, at, end)] if end - at >= least else []
+                    at = end
+                else:
+                    at += 1
+        at = 0
+        while at < len(text):
+            name = next((n for n in ("password", "passwd", "secret", "token", "api_key", "apikey") if text[at:].lower().startswith(n)), None)
+            end = at + len(name or "")
+            if name:
+                end += text[end : end + 1] in ('"', "'") and end < len(text)
+                while text[end : end + 1] == " ":
+                    end += 1
+                if text[end : end + 1] in (":", "=") and end < len(text):
+                    end += 1
+                    # A value may itself begin with `=`, so the mark is the first one only.
+                    while text[end : end + 1] == " ":
+                        end += 1
+                    end += text[end : end + 1] in ('"', "'") and end < len(text)
+                    begin = end
+                    while end < len(text) and (text[end].isascii() and text[end].isalnum() or text[end] in "+/_.=-"):
+                        end += 1
+                    if end > begin:
+                        expected += [("assign", at, end)] if end - begin >= 8 else []
+                        at = end
+                        continue
+            at += 1
+        got = [s for s in secret_spans.find(text) if s[0] in ("assign", "access", "hex")]
+        assert sorted(got) == sorted(expected), text
+
+
 def test_base_kinds_and_redaction():
     text = 'é TOKEN = "abcdefgh" key api-key=1 apikey:12345678 AKIAABCDEFGHIJKL AKIAB ' + "f" * 31 + "g" + "a1" * 16
     found = secret_spans.find(text)
