@@ -4,6 +4,9 @@ from compare import connect, differences
 
 from starfold.checks.oracles import ORACLES
 from starfold.checks.queries import QUERIES
+from starfold.checks.staged_views import staged
+from starfold.plans.refresh import Warehouse
+from starfold.plans.specs import BY_NAME
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events"
@@ -24,3 +27,27 @@ def test_a_number_beyond_the_coordinates_is_null(spark, folder):
     moved(folder, lineitem="l_suppkey + 9995 as l_suppkey")
     found = {r.as_coordinate for r in QUERIES["safe_casts"](spark, folder).select("as_coordinate").distinct().collect()}
     assert None in found and len(found) > 1
+
+
+BEYOND = {"part": "p_partkey + 50000 as p_partkey", "supplier": "s_suppkey + 4000 as s_suppkey"}
+
+
+def test_rows_of_days_beyond_the_calendar_count(spark, folder):
+    con = moved(folder, **BEYOND)
+    for name in (
+        "capital_to_exit declared_rules exit_comparison fk_violations_of_facts fund_history ipo_valuation_by_year "
+        "late_arriving_companies list_tables validation_report run_log_summary"
+    ).split():
+        assert differences(QUERIES[name](spark, folder), con, ORACLES[name]) is None, name
+
+
+def test_days_beyond_the_calendar_are_listed_when_loaded(spark, folder):
+    moved(folder, **BEYOND)
+    warehouse = Warehouse(spark, f"{folder}/warehouse", load_all_days=True)
+    warehouse.refresh_calendar()
+    warehouse.refresh_table(BY_NAME["dim_company"], staged(spark, folder, "company"))
+    warehouse.refresh_table(BY_NAME["fact_funds"], staged(spark, folder, "funds"))
+    listed = {r.value for r in warehouse.broken_references().collect()}
+    later = {r.funded_at for r in warehouse.table("fact_funds").filter("funded_at > 21001231").collect()}
+    assert later and listed == later
+    assert [r.n_rejected for r in warehouse.log.read().filter("process = 'load' and table_name = 'fact_funds'").collect()] == [0]
