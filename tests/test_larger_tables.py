@@ -1,12 +1,18 @@
 """Queries on rows that only larger tables have."""
 
+import os
+
 from compare import connect, differences
+from pyspark.sql import functions as F
 
 from starfold.checks.oracles import ORACLES
 from starfold.checks.queries import QUERIES
 from starfold.checks.staged_views import staged
+from starfold.operators.lookup import hot_keys
 from starfold.plans.refresh import Warehouse
 from starfold.plans.specs import BY_NAME
+from starfold.sources.files import write_json
+from starfold.sources.store import Store
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events"
@@ -51,3 +57,33 @@ def test_days_beyond_the_calendar_are_listed_when_loaded(spark, folder):
     later = {r.funded_at for r in warehouse.table("fact_funds").filter("funded_at > 21001231").collect()}
     assert later and listed == later
     assert [r.n_rejected for r in warehouse.log.read().filter("process = 'load' and table_name = 'fact_funds'").collect()] == [0]
+
+
+def test_only_keys_of_full_hashes_are_counted(spark):
+    rows = spark.range(200_000).select(F.when(F.col("id") % 4 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    rows = rows.unionByName(spark.range(100).select(F.lit(None).cast("long").alias("k")))
+    hot = hot_keys(rows, ["k"], 20_000)
+    assert [(r.k, r._parts) for r in hot.collect()] == [(7, 3)]
+    plan = hot._jdf.queryExecution().executedPlan().toString()
+    counted = plan[: plan.index("BroadcastExchange")]
+    assert "LeftSemi" in counted and "keys=[k#" in counted
+
+
+def test_joined_partitions_are_small_unless_the_session_says_otherwise(spark, folder):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        Store(spark, folder)
+        assert spark.conf.get(name) == str(16 * 1024 * 1024)
+        spark.conf.set(name, "32m")
+        Store(spark, folder)
+        assert spark.conf.get(name) == "32m"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def test_reports_are_packed(spark, folder):
+    write_json(spark.range(10).select("id", F.lit(None).cast("string").alias("none")), f"{folder}/report")
+    assert [n for n in os.listdir(f"{folder}/report") if n.startswith("part-") and not n.endswith(".json.gz")] == []
+    assert spark.read.json(f"{folder}/report").count() == 10
