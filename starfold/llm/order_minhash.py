@@ -7,15 +7,16 @@ in a sketch the likelier the smaller their edit distance. Texts that agree in a
 share a sequence; a banded alignment of their words decides.
 
 Groups of candidates are never compared pair by pair as a whole. In three rounds one text leads each group and is aligned with
-the others, which joins copies however many there are. Of groups that still hold several components, those of few are
-compared component by component. The texts of the others have something in common that does not make them alike,
-such as a line or a passage: sequences that stand in many of their components are left out and the rest is sketched
-again, so that a group then holds few components by construction.
+the others, which joins copies however many there are. Of the groups that still hold several components, those with few
+nodes outside the largest are compared whole. The texts of the others have something in common that does not make them alike,
+such as a line or a passage. They are compared when they share a rare run of words, and a text waits for a shorter run only
+while its frequent runs alone could make it alike to another; so no pair is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,8 +35,10 @@ DISTINCT = 0.2
 
 # Texts of at most so many sequences are also compared by single sequences: a sketch is likely to miss one in common.
 FEW = 9
-# A group of at most so many components is compared whole; a sequence in more components is left out of the last sketches.
+# A group with at most so many nodes outside its largest component is compared whole; a run of words with more is frequent.
 FEW_COMPONENTS = 32
+# Words of the runs by which the texts of other groups are compared, one after the other.
+RUNS = (WORDS, 3, 2, 1)
 
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -297,72 +300,112 @@ def _across(both: DataFrame, similarity: float) -> DataFrame:
 
 
 def _whole(members: DataFrame, names: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(pairs of the open groups of few components, values of the other open groups).
-
-    Of a component of more than a few nodes, whose texts are alike, one node stands for all.
-    """
-    parts = stored(_parts(members, names), "parts")
-    sizes = parts.groupBy("value").agg(F.count("*").alias("n_parts"), F.sum("n_nodes").alias("size"))
-    many = sizes.filter(F.col("n_parts") > FEW_COMPONENTS).select("value")
-    named = members.join(names, "node")
-    few = sizes.filter(F.col("n_parts") <= FEW_COMPONENTS)
-    # All nodes are heads in a small group.
-    small = named.join(few.filter(F.col("size") <= FEW_COMPONENTS).select("value"), "value").select(
+    """(pairs of all nodes of the open groups with few nodes outside the largest component, values of the other open groups)."""
+    largest = F.max(F.struct("n_nodes", "component")).alias("largest")
+    sizes = stored(_parts(members, names).groupBy("value").agg(F.sum("n_nodes").alias("size"), largest), "sizes")
+    few = F.col("size") - F.col("largest.n_nodes") <= FEW_COMPONENTS
+    inside = members.join(sizes.filter(few).select("value", F.col("largest.component").alias("largest")), "value").join(names, "node")
+    heads = inside.filter("component != largest").select(
         "value", F.col("node").alias("head"), F.col("n_words").alias("head_words"), F.col("component").alias("head_component")
     )
-    large = parts.join(few.filter(F.col("size") > FEW_COMPONENTS).select("value"), "value").select(
-        "value", "head", "head_words", F.col("component").alias("head_component")
-    )
-    return _across(named.join(small.union(large), "value"), similarity), many
+    return _across(inside.join(heads, "value"), similarity), sizes.filter(~few).select("value")
 
 
-def _rare_batches(k: int, kept: int, kept_new: int, n_sketches: int, most: int):
-    """Sketches of texts without the sequences that are listed as frequent."""
+def least_common(n_words: int, run: int, similarity: float) -> int:
+    """How many runs of `run` words, with repeats, a text shares at least with any that is alike; not above 0 if none need be.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            kept_of = [
-                np.array(own, np.int64)[~np.isin(own, frequent if frequent is not None else [])].view(np.uint64)
-                for own, frequent in zip(batch["sequences"], batch["frequent"])
-            ]
-            bounds = np.cumsum([0, *map(len, kept_of)])
-            found = np.concatenate([*kept_of, np.empty(0, np.uint64)])
-            values = zip(sketches(found, bounds, kept, kept_new, n_sketches), single_sequences(found, bounds, most))
-            lists = [np.concatenate(v).view(np.int64) if len(own) else [] for own, v in zip(kept_of, values)]
-            yield pd.DataFrame({"node": batch["node"], "n_words": batch["n_words"], "values": lists})
+    An edit changes at most `run` runs of the longer of two texts.
+    """
+    if run * (1 - similarity) >= 1:
+        return 0
+    longest = np.arange(n_words, int(n_words / similarity) + 2)
+    edits = (longest * (1 - similarity) + 1e-9).astype(np.int64)
+    return int((longest - run + 1 - run * edits).min())
 
-    return run
 
+def _run_batches(run: int, similarity: float):
+    """Distinct runs of each text, in one order for all texts, and how many of them a text that is alike has at least."""
 
-def _sequence_batches(k: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in steps(batches, "text"):
             words, begins = hashed_words(batch["text"].tolist())
-            found, bounds = sequences(words, begins, k)
-            lists = [found[x:y].view(np.int64) for x, y in zip(bounds[:-1], bounds[1:])]
-            yield pd.DataFrame({"node": batch["node"], "n_words": np.diff(begins), "sequences": lists})
-
-    return run
+            found, bounds = sequences(words, begins, run)
+            if run < WORDS:
+                found = found + earlier_occurrences(found, bounds).astype(np.uint64) * _ODD
+            found = mix(found + np.uint64(run) * _SINGLE)
+            lists = [np.unique(found[x:y]).view(np.int64) for x, y in zip(bounds[:-1], bounds[1:])]
+            n_words = np.diff(begins)
+            if run < WORDS:
+                least = {n: least_common(n, run, similarity) for n in set(n_words.tolist())}
+                needed = [least[n] for n in n_words.tolist()]
+            else:
+                needed = [int(np.ceil(DISTINCT * len(x) - 1e-9)) if n >= WORDS else 0 for n, x in zip(n_words, lists)]
+            yield batch[["node", "component"]].assign(n_words=n_words, runs=lists, needed=needed)
+
+    return of
+
+
+def _rare_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rare runs by which each text is compared, and whether it can be alike to none by its frequent runs alone.
+
+    With frequent runs last in the order, two texts that share as many runs as they need share one among the first of both:
+    of `n` runs of which `needed` are shared, n - needed + 1.
+    """
+    for batch in batches:
+        values, settled = [], []
+        for own, frequent, needed in zip(batch["runs"], batch["frequent"], batch["needed"]):
+            rare = own if frequent is None else own[~np.isin(own, frequent)]
+            settled.append(len(own) - len(rare) < needed)
+            values.append(rare[: len(own) - needed + 1] if settled[-1] else rare)
+        yield batch[["node", "n_words"]].assign(settled=settled, values=values)
+
+
+def _by_rare_runs(nodes: DataFrame, texts: DataFrame, names: DataFrame, run: int, similarity: float) -> DataFrame:
+    """(node, n_words, settled, values): rare runs of `nodes`; of two that are alike and share none, neither is settled."""
+    schema = "node long, component long, n_words long, runs array<long>, needed long"
+    # Dealt evenly, as texts with something in common may lie together.
+    rows = texts.join(nodes, "node", "left_semi").join(names, "node").repartition("node")
+    listed = stored(rows.mapInPandas(bounded(_run_batches(run, similarity)), schema), "runs")
+    single = listed.select("node", "component", F.explode("runs").alias("value"))
+    held = single.groupBy("value", "component").count().groupBy("value")
+    others = held.agg((F.sum("count") - F.max("count")).alias("others"))
+    frequent = stored(others.filter(F.col("others") > FEW_COMPONENTS).select("value"), "frequent")
+    left_out = single.join(small_side(frequent), "value", "left_semi").groupBy("node").agg(F.collect_list("value").alias("frequent"))
+    rows = listed.join(left_out, "node", "left").select("node", "n_words", "runs", "frequent", "needed")
+    return stored(rows.mapInPandas(bounded(_rare_batches), "node long, n_words long, settled boolean, values array<long>"), "rare")
+
+
+def _all_pairs(members: DataFrame, names: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of all nodes of each group, a slice of a few nodes with all others at a time."""
+    named = members.join(names, "node")
+    slices = named.groupBy("value").agg(F.ceil(F.count("*") / FEW_COMPONENTS).cast("int").alias("slices"))
+    named = named.join(slices, "value")
+    heads = named.select(
+        "value", F.pmod(F.xxhash64("node"), "slices").cast("int").alias("slice"), F.col("node").alias("head"),
+        F.col("n_words").alias("head_words"), F.col("component").alias("head_component"),
+    )
+    nodes = named.select("value", "node", "n_words", "component", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    return _across(nodes.join(heads, ["value", "slice"]).filter("head < node"), similarity)
 
 
-def _sketched_again(
-    nodes: DataFrame, texts: DataFrame, names: DataFrame, k: int, kept: int, kept_new: int, n_sketches: int, most: int
-) -> DataFrame:
-    """(value, node, n_words) of `nodes`, from sequences that stand in at most `FEW_COMPONENTS` of their components.
+def _rest(members: DataFrame, texts: DataFrame, names: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) among which are all alike pairs of the groups of `members`.
 
-    A value of these stands in no more components than its rarest sequence.
+    Rare runs make at most `FEW_COMPONENTS` pairs for each run of a text. Texts that no run settles, as even most of their
+    single words are frequent, are compared with all others of them in their groups.
     """
-    schema = "node long, n_words long, sequences array<long>"
-    listed = texts.join(nodes, "node", "left_semi").mapInPandas(bounded(_sequence_batches(k)), schema)
-    listed = stored(listed, "sequences")
-    single = listed.select("node", F.explode(F.array_distinct("sequences")).alias("sequence"))
-    held = single.join(names, "node").select("sequence", "component").distinct().groupBy("sequence").count()
-    frequent = stored(held.filter(F.col("count") > FEW_COMPONENTS).select("sequence"), "frequent")
-    left_out = single.join(small_side(frequent), "sequence", "left_semi").groupBy("node").agg(F.collect_list("sequence").alias("frequent"))
-    rest = listed.join(left_out, "node", "left").select("node", "n_words", "sequences", "frequent")
-    schema = "node long, n_words long, values array<long>"
-    found = rest.mapInPandas(bounded(_rare_batches(k, kept, kept_new, n_sketches, most)), schema)
-    return _members(found.select("node", "n_words", F.explode("values").alias("value")))
+    nodes, found = members.select("node").distinct(), []
+    for run in RUNS:
+        rare = _by_rare_runs(nodes, texts, names, run, similarity)
+        found.append(rare.select("node", "n_words", F.explode("values").alias("value")))
+        nodes = rare.filter("not settled").select("node")
+        if nodes.isEmpty():
+            break
+    by_run = reduce(DataFrame.union, found)
+    pairs, _ = _whole(_members(by_run), names, similarity)
+    if len(found) == len(RUNS):
+        pairs = pairs.union(_all_pairs(members.join(nodes, "node", "left_semi"), names, similarity))
+    return pairs
 
 
 def _members(values: DataFrame) -> DataFrame:
@@ -392,13 +435,10 @@ class _Joiner:
         self.names = stored(renamed, "names")
 
 
-def _joined(
-    members: DataFrame, docs: DataFrame, id_col: str, text_col: str, similarity: float, k: int = WORDS, kept: int = KEPT,
-    kept_new: int = KEPT_NEW, n_sketches: int = SKETCHES,
-) -> DataFrame:
+def _joined(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
     """(node, component) of the nodes of `members` (value, node, n_words) that chains of similar pairs connect.
 
-    A fixed number of rounds, each of at most `FEW_COMPONENTS` pairs for each row of `members`.
+    A fixed number of rounds. All nodes of a group are compared, or all that can be alike by the runs of words they share.
     """
     nodes = stored(members.select("node").distinct(), "nodes")
     texts = stored(
@@ -411,12 +451,9 @@ def _joined(
         joiner.take(_led(members, joiner.names, similarity, turn))
     pairs, many = _whole(members, joiner.names, similarity)
     joiner.take(pairs)
-    unlike = stored(members.join(many, "value", "left_semi").select("node").distinct(), "unlike")
+    unlike = stored(members.join(many, "value", "left_semi"), "unlike")
     if not unlike.isEmpty():
-        most = max(FEW, int((FEW + k - 1) / max(similarity, 1e-6) + 1e-6) - k + 1)
-        again = _sketched_again(unlike, texts, joiner.names, k, kept, kept_new, n_sketches, most)
-        joiner.take(_led(again, joiner.names, similarity, 2))
-        joiner.take(_whole(again, joiner.names, similarity)[0])
+        joiner.take(_rest(unlike, texts, joiner.names, similarity))
     return joiner.names
 
 
@@ -453,7 +490,7 @@ def near_duplicates(
         "exact",
     )
     members = _members(exact.filter("n_words > 0").select("node", "n_words", F.explode("sketches").alias("value")))
-    names = _joined(members, docs, id_col, text_col, similarity, k, kept, kept_new, n_sketches)
+    names = _joined(members, docs, id_col, text_col, similarity)
     shared = table.filter("id is not null").select("id", *key).distinct().join(exact.select(*key, "node"), key)
     versions = shared.filter("id != node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     versions = versions.join(exact.select(F.col("node").alias("a")).distinct(), "a")

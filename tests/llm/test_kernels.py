@@ -1,12 +1,13 @@
 """Kernels against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 
 from starfold.llm import bloom_lookup, decontaminate, licenses, secret_spans, token_trees, toxicity
 from starfold.llm.common import hashed_words
-from starfold.llm.order_minhash import edit_distance, sequences, sketches, word_distance
+from starfold.llm.order_minhash import edit_distance, least_common, sequences, sketches, word_distance
 
 
 def plain_distance(a, b):
@@ -313,3 +314,19 @@ def test_misspellings_share_vectors():
     scores = toxicity.score(model, [probe, probe + " wretchedfool", probe + " wretchedfoool", "", probe + " stinkyvilain"])
     assert scores[0] < 0.5 < 0.7 < min(scores[1], scores[2], scores[4]) and scores[3] == 0
     assert toxicity.train(["a", "b"], [1, 1]) is None and toxicity.score(None, ["a"]).tolist() == [0]
+
+
+def test_alike_texts_share_least_common_runs():
+    r = random.Random(9)
+    for _ in range(400):
+        a = [r.randrange(30) for _ in range(r.randrange(1, 60))]
+        b = list(a)
+        for _ in range(r.randrange(1, 1 + max(1, len(a) // 5))):
+            k = r.randrange(len(b) + 1)
+            b[k : k + r.randrange(2)] = [r.randrange(30, 60)] * r.randrange(2)
+        longest = max(len(a), len(b))
+        if edit_distance(a, b, longest) <= int(longest * 0.2 + 1e-9):
+            for run in (1, 2, 3):
+                counts = [Counter(tuple(x[i : i + run]) for i in range(len(x) - run + 1)) for x in (a, b)]
+                shared = (counts[0] & counts[1]).total()
+                assert shared >= max(least_common(len(a), run, 0.8), least_common(len(b), run, 0.8))

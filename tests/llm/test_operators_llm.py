@@ -156,6 +156,47 @@ def test_aligned_pairs_grow_in_proportion(spark, monkeypatch):
         assert pairs[2] <= 5 * pairs[0] and pairs[2] < 40 * 400
 
 
+def passages(r, n_texts, n_alike):
+    """Unlike texts with a common passage of half their words, and some again, so edited that they share no other sequence."""
+    passage = words(r, 50)
+    rows = [(i, f"{words(r, 25)} {passage} {words(r, 25)}", "en", "a") for i in range(n_texts)]
+    edit = lambda t: " ".join(f"x{k}" if (k < 25 or k >= 75) and k % 4 == 0 else w for k, w in enumerate(t.split()))
+    return rows + [(n_texts + i, edit(rows[i][1]), "en", "a") for i in range(n_alike)]
+
+
+def test_alike_texts_that_share_frequent_sequences_alone_are_found(spark):
+    rows = passages(random.Random(11), 80, 30)
+    found = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(table(spark, rows)).collect()}
+    assert found == {i: i if i < 80 else i - 80 for i in found}
+
+
+def test_alike_texts_of_frequent_words_alone_are_found(spark):
+    """Texts of few words in an order of their own, each of which stands in many texts, and a line in all of them."""
+    r = random.Random(12)
+    rows = [(i, " ".join(["p q r s t u", *(r.choice("abcdefgh") for _ in range(40))]), "en", "a") for i in range(60)]
+    edited = lambda t: " ".join(w if k < 6 or k % 9 else "z" for k, w in enumerate(t.split()))
+    rows += [(60 + i, edited(rows[i][1]), "en", "a") for i in range(30)]
+    docs = table(spark, rows)
+    members = spark.createDataFrame([(1, row[0], 46) for row in rows], "value long, node long, n_words long")
+    names = order_minhash._joined(members, docs, "doc_id", "text", 0.8)
+    assert {n.node: n.component for n in names.collect()} == {i: i if i < 60 else i - 60 for i in range(90)}
+
+
+def test_large_components_of_a_group_are_joined_by_any_of_their_nodes(spark):
+    """Two chains of texts that drift apart; only texts near one end of each are alike."""
+    r = random.Random(13)
+    base = words(r, 100).split()
+    chains = [[f"a{k}" if k < i else w for k, w in enumerate(base)] for i in range(45)]
+    last = [f"b{k}" if k >= 84 else w for k, w in enumerate(chains[-1])]
+    chains += [[f"c{k}" if 45 <= k < 45 + i and k < 84 else w for k, w in enumerate(last)] for i in range(1, 39)]
+    docs = table(spark, [(i, " ".join(t), "en", "a") for i, t in enumerate(chains)])
+    n = len(chains)
+    members = [(1, i, 100) for i in range(n)] + [(2 + i, j, 100) for i in range(n - 1) if i != 44 for j in (i, i + 1)]
+    members = spark.createDataFrame(members, "value long, node long, n_words long")
+    names = order_minhash._joined(members, docs, "doc_id", "text", 0.8)
+    assert {x.component for x in names.collect()} == {0}
+
+
 @pytest.mark.parametrize("percent", [3, 8, 12, 15, 19])
 def test_edited_texts_are_found(spark, percent):
     """Words replaced evenly; of the pairs that the definition calls alike at least nine in ten are in one class."""
