@@ -20,6 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starfold.llm.common import bounded, hashed_words, mix, small_side, span_sums, steps, stored
@@ -39,6 +40,8 @@ FEW = 9
 FEW_COMPONENTS = 32
 # Words of the runs by which the texts of other groups are compared, one after the other.
 RUNS = (WORDS, 3, 2, 1)
+# Frequent runs that are sent to all tasks (4 MB); more are joined.
+LISTED = 500_000
 
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -345,19 +348,26 @@ def _run_batches(run: int, similarity: float):
     return of
 
 
-def _rare_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _rare_batches(listed: Broadcast | None):
     """The rare runs by which each text is compared, and whether it can be alike to none by its frequent runs alone.
 
     With frequent runs last in the order, two texts that share as many runs as they need share one among the first of both:
-    of `n` runs of which `needed` are shared, n - needed + 1.
+    of `n` runs of which `needed` are shared, n - needed + 1. Frequent runs are `listed`, or stand in each row.
     """
-    for batch in batches:
-        values, settled = [], []
-        for own, frequent, needed in zip(batch["runs"], batch["frequent"], batch["needed"]):
-            rare = own if frequent is None else own[~np.isin(own, frequent)]
-            settled.append(len(own) - len(rare) < needed)
-            values.append(rare[: len(own) - needed + 1] if settled[-1] else rare)
-        yield batch[["node", "n_words"]].assign(settled=settled, values=values)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        none = np.empty(0, np.int64)
+        for batch in batches:
+            values, settled = [], []
+            for own, frequent, needed in zip(batch["runs"], batch["frequent"], batch["needed"]):
+                frequent = listed.value if listed else none if frequent is None else np.sort(frequent)
+                # Equal places on both sides: not among the frequent ones.
+                rare = own[np.searchsorted(frequent, own) == np.searchsorted(frequent, own, "right")]
+                settled.append(len(own) - len(rare) < needed)
+                values.append(rare[: len(own) - needed + 1] if settled[-1] else rare)
+            yield batch[["node", "n_words"]].assign(settled=settled, values=values)
+
+    return run
 
 
 def _by_rare_runs(nodes: DataFrame, texts: DataFrame, names: DataFrame, run: int, similarity: float) -> DataFrame:
@@ -370,9 +380,14 @@ def _by_rare_runs(nodes: DataFrame, texts: DataFrame, names: DataFrame, run: int
     held = single.groupBy("value", "component").count().groupBy("value")
     others = held.agg((F.sum("count") - F.max("count")).alias("others"))
     frequent = stored(others.filter(F.col("others") > FEW_COMPONENTS).select("value"), "frequent")
-    left_out = single.join(small_side(frequent), "value", "left_semi").groupBy("node").agg(F.collect_list("value").alias("frequent"))
-    rows = listed.join(left_out, "node", "left").select("node", "n_words", "runs", "frequent", "needed")
-    return stored(rows.mapInPandas(bounded(_rare_batches), "node long, n_words long, settled boolean, values array<long>"), "rare")
+    if frequent.count() <= LISTED:
+        values = np.sort(frequent.toArrow()["value"].to_numpy())
+        known, rows = nodes.sparkSession.sparkContext.broadcast(values), listed.withColumn("frequent", F.lit(None).cast("array<long>"))
+    else:
+        left_out = single.join(frequent, "value", "left_semi").groupBy("node").agg(F.collect_list("value").alias("frequent"))
+        known, rows = None, listed.join(left_out, "node", "left")
+    rows = rows.select("node", "n_words", "runs", "frequent", "needed")
+    return stored(rows.mapInPandas(bounded(_rare_batches(known)), "node long, n_words long, settled boolean, values array<long>"), "rare")
 
 
 def _all_pairs(members: DataFrame, names: DataFrame, similarity: float) -> DataFrame:

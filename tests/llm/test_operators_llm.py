@@ -164,7 +164,9 @@ def passages(r, n_texts, n_alike):
     return rows + [(n_texts + i, edit(rows[i][1]), "en", "a") for i in range(n_alike)]
 
 
-def test_alike_texts_that_share_frequent_sequences_alone_are_found(spark):
+@pytest.mark.parametrize("listed", [500_000, 0])
+def test_alike_texts_that_share_frequent_sequences_alone_are_found(spark, monkeypatch, listed):
+    monkeypatch.setattr(order_minhash, "LISTED", listed)
     rows = passages(random.Random(11), 80, 30)
     found = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(table(spark, rows)).collect()}
     assert found == {i: i if i < 80 else i - 80 for i in found}
