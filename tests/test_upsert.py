@@ -193,3 +193,18 @@ def test_store_without_versions(spark, folder):
     assert store.current("none") is None
     with pytest.raises(LookupError):
         store.read("none")
+
+
+def test_many_buckets_are_listed_in_few_tasks(spark, folder):
+    store = Store(spark, folder, bucket_rows=10)
+    load(store, "t", spark.range(2000).select(F.col("id").cast("int").alias("k")), ["k"])
+    assert len(store.current("t").folders_of()) > 200
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        rows = store.read("t")
+        tracker = spark.sparkContext.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+        assert stages and all(tracker.getStageInfo(s).numTasks <= 64 for s in stages)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert rows.count() == 2000
