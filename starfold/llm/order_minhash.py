@@ -40,7 +40,7 @@ FEW = 9
 FEW_COMPONENTS = 32
 # Words of the runs by which the texts of other groups are compared, one after the other.
 RUNS = (WORDS, 3, 2, 1)
-# Frequent runs that are sent to all tasks (4 MB); more are joined.
+# Runs of several components that are sent to all tasks (4 MB); more are joined.
 LISTED = 500_000
 
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -351,42 +351,57 @@ def _run_batches(run: int, similarity: float):
 def _rare_batches(listed: Broadcast | None):
     """The rare runs by which each text is compared, and whether it can be alike to none by its frequent runs alone.
 
-    With frequent runs last in the order, two texts that share as many runs as they need share one among the first of both:
-    of `n` runs of which `needed` are shared, n - needed + 1. Frequent runs are `listed`, or stand in each row.
+    Runs are ordered alone, then rare, then frequent ones. Two texts that share as many as they need share one among the first
+    of both: of `n` runs of which `needed` are shared, n - needed + 1. Of those, only rare ones make pairs. Rare and frequent
+    runs are `listed`, or stand in each row.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         none = np.empty(0, np.int64)
         for batch in batches:
             values, settled = [], []
-            for own, frequent, needed in zip(batch["runs"], batch["frequent"], batch["needed"]):
-                frequent = listed.value if listed else none if frequent is None else np.sort(frequent)
-                # Equal places on both sides: not among the frequent ones.
-                rare = own[np.searchsorted(frequent, own) == np.searchsorted(frequent, own, "right")]
-                settled.append(len(own) - len(rare) < needed)
-                values.append(rare[: len(own) - needed + 1] if settled[-1] else rare)
+            for own, rare, n_frequent, needed in zip(batch["runs"], batch["rare"], batch["n_frequent"], batch["needed"]):
+                if listed:
+                    rare, n_frequent = own[_among(own, listed.value[0])], int(_among(own, listed.value[1]).sum())
+                else:
+                    rare = none if rare is None else np.sort(rare)
+                n_alone = len(own) - len(rare) - n_frequent
+                settled.append(n_frequent < needed)
+                values.append(rare[: max(0, len(own) - needed + 1 - n_alone)])
             yield batch[["node", "n_words"]].assign(settled=settled, values=values)
 
     return run
 
 
+def _among(own: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of `own` are among the sorted `values`: those with unequal places on both sides."""
+    return np.searchsorted(values, own) < np.searchsorted(values, own, "right")
+
+
 def _by_rare_runs(nodes: DataFrame, texts: DataFrame, names: DataFrame, run: int, similarity: float) -> DataFrame:
-    """(node, n_words, settled, values): rare runs of `nodes`; of two that are alike and share none, neither is settled."""
+    """(node, n_words, settled, values): rare runs of `nodes`; of two that are alike and share none, neither is settled.
+
+    A run that one component alone holds links no two, so that it is neither listed nor given out.
+    """
     schema = "node long, component long, n_words long, runs array<long>, needed long"
     # Dealt evenly, as texts with something in common may lie together.
     rows = texts.join(nodes, "node", "left_semi").join(names, "node").repartition("node")
     listed = stored(rows.mapInPandas(bounded(_run_batches(run, similarity)), schema), "runs")
     single = listed.select("node", "component", F.explode("runs").alias("value"))
-    held = single.groupBy("value", "component").count().groupBy("value")
-    others = held.agg((F.sum("count") - F.max("count")).alias("others"))
-    frequent = stored(others.filter(F.col("others") > FEW_COMPONENTS).select("value"), "frequent")
-    if frequent.count() <= LISTED:
-        values = np.sort(frequent.toArrow()["value"].to_numpy())
-        known, rows = nodes.sparkSession.sparkContext.broadcast(values), listed.withColumn("frequent", F.lit(None).cast("array<long>"))
+    others = single.groupBy("value", "component").count().groupBy("value").agg((F.sum("count") - F.max("count")).alias("others"))
+    linking = others.filter("others > 0").select("value", (F.col("others") > FEW_COMPONENTS).alias("frequent"))
+    linking = stored(linking, "linking")
+    if linking.count() <= LISTED:
+        found = linking.toArrow().to_pandas()
+        sides = [np.sort(found["value"].to_numpy()[found["frequent"].to_numpy(bool) == x]) for x in (False, True)]
+        known = nodes.sparkSession.sparkContext.broadcast(sides)
+        rows = listed.withColumns({"rare": F.lit(None).cast("array<long>"), "n_frequent": F.lit(0).cast("long")})
     else:
-        left_out = single.join(frequent, "value", "left_semi").groupBy("node").agg(F.collect_list("value").alias("frequent"))
-        known, rows = None, listed.join(left_out, "node", "left")
-    rows = rows.select("node", "n_words", "runs", "frequent", "needed")
+        own = single.join(linking, "value").groupBy("node").agg(
+            F.collect_list(F.when(~F.col("frequent"), F.col("value"))).alias("rare"), F.count_if("frequent").alias("n_frequent")
+        )
+        known, rows = None, listed.join(own, "node", "left").withColumn("n_frequent", F.coalesce("n_frequent", F.lit(0)))
+    rows = rows.select("node", "n_words", "runs", "rare", "n_frequent", "needed")
     return stored(rows.mapInPandas(bounded(_rare_batches(known)), "node long, n_words long, settled boolean, values array<long>"), "rare")
 
 
@@ -412,12 +427,11 @@ def _rest(members: DataFrame, texts: DataFrame, names: DataFrame, similarity: fl
     nodes, found = members.select("node").distinct(), []
     for run in RUNS:
         rare = _by_rare_runs(nodes, texts, names, run, similarity)
-        found.append(rare.select("node", "n_words", F.explode("values").alias("value")))
+        found.append(rare.select(F.explode("values").alias("value"), "node", "n_words"))
         nodes = rare.filter("not settled").select("node")
         if nodes.isEmpty():
             break
-    by_run = reduce(DataFrame.union, found)
-    pairs, _ = _whole(_members(by_run), names, similarity)
+    pairs, _ = _whole(stored(reduce(DataFrame.union, found), "by_run"), names, similarity)
     if len(found) == len(RUNS):
         pairs = pairs.union(_all_pairs(members.join(nodes, "node", "left_semi"), names, similarity))
     return pairs

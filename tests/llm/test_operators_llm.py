@@ -199,6 +199,29 @@ def test_large_components_of_a_group_are_joined_by_any_of_their_nodes(spark):
     assert {x.component for x in names.collect()} == {0}
 
 
+@pytest.mark.parametrize("listed", [500_000, 0])
+def test_runs_that_link_nothing_are_not_given_out(spark, monkeypatch, listed):
+    """Of unlike texts with a common line only the runs that several texts share may become rows."""
+    given, own = [], order_minhash.stored
+
+    def counted(df, label):
+        table = own(df, label)
+        if label == "rare":
+            given.append(table.select(F.sum(F.size("values"))).first()[0])
+        return table
+
+    monkeypatch.setattr(order_minhash, "stored", counted)
+    monkeypatch.setattr(order_minhash, "LISTED", listed)
+    r = random.Random(14)
+    line = words(r, 6)
+    rows = [(i, f"{' '.join(f'w{i}x{k}' for k in range(60))} {line}", "en", "a") for i in range(80)]
+    rows += [(80 + i, rows[i][1].replace(f"w{i}x30 ", "z "), "en", "a") for i in range(3)]
+    members = spark.createDataFrame([(1, row[0], 66) for row in rows], "value long, node long, n_words long")
+    names = order_minhash._joined(members, table(spark, rows), "doc_id", "text", 0.8)
+    assert {x.node: x.component for x in names.collect()} == {i: i if i < 80 else i - 80 for i in range(83)}
+    assert given and sum(given) <= 2 * 3 * 62
+
+
 @pytest.mark.parametrize("percent", [3, 8, 12, 15, 19])
 def test_edited_texts_are_found(spark, percent):
     """Words replaced evenly; of the pairs that the definition calls alike at least nine in ten are in one class."""
