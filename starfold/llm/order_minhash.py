@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starfold.llm.common import bounded, hashed_words, mix, small_side, span_sums, steps, stored
+from starfold.llm.common import BROADCAST_IDS, bounded, hashed_words, mix, small_side, span_sums, steps, stored
 from starfold.llm.components import components
 
 WORDS = 5
@@ -258,20 +258,28 @@ def sketch_table(
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     # First the leaders' texts, then the others': few pairs share a `b`, so the alignments spread over all tasks.
-    side = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
+    def side(name: str) -> DataFrame:
+        # Texts of no pair are left out before the shuffle.
+        used = texts.join(small_side(pairs.select(F.col(name).alias("node")).distinct()), "node", "left_semi")
+        return used.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
+
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
     return both.mapInPandas(bounded(_verify_batches(similarity)), "a long, b long")
 
 
-def _parts(members: DataFrame, names: DataFrame) -> DataFrame:
-    """(value, component, n_nodes, head, head_words) of the groups of `members` that hold several components."""
+def _open(members: DataFrame, names: DataFrame) -> DataFrame:
+    """(value, node, n_words, component) of the groups of `members` that hold several components."""
+    named = members.select("value", "node", "n_words").join(names, "node")
+    bounds = named.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    several = bounds.filter("low != high").select("value")
+    return stored(named.join(several, "value", "left_semi").select("value", "node", "n_words", "component"), "open")
+
+
+def _parts(members: DataFrame) -> DataFrame:
+    """(value, component, n_nodes, head, head_words) of the open groups of `members`."""
     order = F.struct(F.xxhash64("node"), "node", "n_words")
-    parts = members.join(names, "node").groupBy("value", "component").agg(
-        F.count("*").alias("n_nodes"), F.min(order).alias("head")
-    )
-    bounds = parts.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    several = parts.join(bounds.filter("low != high").select("value"), "value")
-    return several.select(
+    parts = members.groupBy("value", "component").agg(F.count("*").alias("n_nodes"), F.min(order).alias("head"))
+    return parts.select(
         "value", "component", "n_nodes", F.col("head.node").alias("head"), F.col("head.n_words").alias("head_words")
     )
 
@@ -281,18 +289,19 @@ def _near_in_length(a: str, b: str, similarity: float) -> Column:
     return most - least <= most * (1 - similarity) + 1e-9
 
 
-def _led(members: DataFrame, names: DataFrame, similarity: float, turn: int) -> DataFrame:
+def _led(members: DataFrame, similarity: float, turn: int) -> DataFrame:
     """Pairs (a, b) of one leader of each open group with its other nodes.
 
     In turns 0 and 1 a leader is the same in all groups that share it, and in turn 0 a node meets one leader alone, so
     that a group of copies is joined by one pair for each. In turn 2 leaders come from the smallest components.
     """
-    rank = F.struct("n_nodes", F.xxhash64("head", F.lit(1))) if turn == 2 else F.xxhash64("head")
-    leaders = _parts(members, names).groupBy("value").agg(
-        F.min_by(F.struct("head", "head_words", "component"), rank).alias("leader")
-    )
+    if turn == 2:
+        heads, rank = _parts(members), F.struct("n_nodes", F.xxhash64("head", F.lit(1)))
+    else:
+        heads, rank = members.withColumnsRenamed({"node": "head", "n_words": "head_words"}), F.xxhash64("head")
+    leaders = heads.groupBy("value").agg(F.min_by(F.struct("head", "head_words", "component"), rank).alias("leader"))
     leaders = leaders.select("value", "leader.*").withColumnRenamed("component", "head_component")
-    pairs = _across(members.join(names, "node").join(leaders, "value"), similarity)
+    pairs = _across(members.join(leaders, "value"), similarity)
     return pairs if turn else pairs.groupBy("b").agg(F.min_by("a", F.xxhash64("a")).alias("a"))
 
 
@@ -302,12 +311,12 @@ def _across(both: DataFrame, similarity: float) -> DataFrame:
     return apart.select(F.col("head").alias("a"), F.col("node").alias("b"))
 
 
-def _whole(members: DataFrame, names: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+def _whole(members: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """(pairs of all nodes of the open groups with few nodes outside the largest component, values of the other open groups)."""
     largest = F.max(F.struct("n_nodes", "component")).alias("largest")
-    sizes = stored(_parts(members, names).groupBy("value").agg(F.sum("n_nodes").alias("size"), largest), "sizes")
+    sizes = stored(_parts(members).groupBy("value").agg(F.sum("n_nodes").alias("size"), largest), "sizes")
     few = F.col("size") - F.col("largest.n_nodes") <= FEW_COMPONENTS
-    inside = members.join(sizes.filter(few).select("value", F.col("largest.component").alias("largest")), "value").join(names, "node")
+    inside = members.join(sizes.filter(few).select("value", F.col("largest.component").alias("largest")), "value")
     heads = inside.filter("component != largest").select(
         "value", F.col("node").alias("head"), F.col("n_words").alias("head_words"), F.col("component").alias("head_component")
     )
@@ -368,7 +377,7 @@ def _rare_batches(listed: Broadcast | None):
                 n_alone = len(own) - len(rare) - n_frequent
                 settled.append(n_frequent < needed)
                 values.append(rare[: max(0, len(own) - needed + 1 - n_alone)])
-            yield batch[["node", "n_words"]].assign(settled=settled, values=values)
+            yield batch[["node", "component", "n_words"]].assign(settled=settled, values=values)
 
     return run
 
@@ -378,14 +387,14 @@ def _among(own: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.searchsorted(values, own) < np.searchsorted(values, own, "right")
 
 
-def _by_rare_runs(nodes: DataFrame, texts: DataFrame, names: DataFrame, run: int, similarity: float) -> DataFrame:
-    """(node, n_words, settled, values): rare runs of `nodes`; of two that are alike and share none, neither is settled.
+def _by_rare_runs(nodes: DataFrame, texts: DataFrame, run: int, similarity: float) -> DataFrame:
+    """(node, component, n_words, settled, values): rare runs of `nodes` (node, component); of two that are alike and share none, neither is settled.
 
     A run that one component alone holds links no two, so that it is neither listed nor given out.
     """
     schema = "node long, component long, n_words long, runs array<long>, needed long"
     # Dealt evenly, as texts with something in common may lie together.
-    rows = texts.join(nodes, "node", "left_semi").join(names, "node").repartition("node")
+    rows = texts.join(small_side(nodes, BROADCAST_IDS // 2), "node").repartition("node")
     listed = stored(rows.mapInPandas(bounded(_run_batches(run, similarity)), schema), "runs")
     single = listed.select("node", "component", F.explode("runs").alias("value"))
     others = single.groupBy("value", "component").count().groupBy("value").agg((F.sum("count") - F.max("count")).alias("others"))
@@ -401,39 +410,39 @@ def _by_rare_runs(nodes: DataFrame, texts: DataFrame, names: DataFrame, run: int
             F.collect_list(F.when(~F.col("frequent"), F.col("value"))).alias("rare"), F.count_if("frequent").alias("n_frequent")
         )
         known, rows = None, listed.join(own, "node", "left").withColumn("n_frequent", F.coalesce("n_frequent", F.lit(0)))
-    rows = rows.select("node", "n_words", "runs", "rare", "n_frequent", "needed")
-    return stored(rows.mapInPandas(bounded(_rare_batches(known)), "node long, n_words long, settled boolean, values array<long>"), "rare")
+    rows = rows.select("node", "component", "n_words", "runs", "rare", "n_frequent", "needed")
+    schema = "node long, component long, n_words long, settled boolean, values array<long>"
+    return stored(rows.mapInPandas(bounded(_rare_batches(known)), schema), "rare")
 
 
-def _all_pairs(members: DataFrame, names: DataFrame, similarity: float) -> DataFrame:
+def _all_pairs(members: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of all nodes of each group, a slice of a few nodes with all others at a time."""
-    named = members.join(names, "node")
-    slices = named.groupBy("value").agg(F.ceil(F.count("*") / FEW_COMPONENTS).cast("int").alias("slices"))
-    named = named.join(slices, "value")
-    heads = named.select(
+    slices = members.groupBy("value").agg(F.ceil(F.count("*") / FEW_COMPONENTS).cast("int").alias("slices"))
+    sliced = members.join(slices, "value")
+    heads = sliced.select(
         "value", F.pmod(F.xxhash64("node"), "slices").cast("int").alias("slice"), F.col("node").alias("head"),
         F.col("n_words").alias("head_words"), F.col("component").alias("head_component"),
     )
-    nodes = named.select("value", "node", "n_words", "component", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    nodes = sliced.select("value", "node", "n_words", "component", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
     return _across(nodes.join(heads, ["value", "slice"]).filter("head < node"), similarity)
 
 
-def _rest(members: DataFrame, texts: DataFrame, names: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) among which are all alike pairs of the groups of `members`.
+def _rest(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) among which are all alike pairs of the open groups of `members`.
 
     Rare runs make at most `FEW_COMPONENTS` pairs for each run of a text. Texts that no run settles, as even most of their
     single words are frequent, are compared with all others of them in their groups.
     """
-    nodes, found = members.select("node").distinct(), []
+    nodes, found = members.select("node", "component").distinct(), []
     for run in RUNS:
-        rare = _by_rare_runs(nodes, texts, names, run, similarity)
-        found.append(rare.select(F.explode("values").alias("value"), "node", "n_words"))
-        nodes = rare.filter("not settled").select("node")
+        rare = _by_rare_runs(nodes, texts, run, similarity)
+        found.append(rare.select(F.explode("values").alias("value"), "node", "n_words", "component"))
+        nodes = rare.filter("not settled").select("node", "component")
         if nodes.isEmpty():
             break
-    pairs, _ = _whole(stored(reduce(DataFrame.union, found), "by_run"), names, similarity)
+    pairs, _ = _whole(stored(reduce(DataFrame.union, found), "by_run"), similarity)
     if len(found) == len(RUNS):
-        pairs = pairs.union(_all_pairs(members.join(nodes, "node", "left_semi"), names, similarity))
+        pairs = pairs.union(_all_pairs(members.join(nodes.select("node"), "node", "left_semi"), similarity))
     return pairs
 
 
@@ -476,13 +485,16 @@ def _joined(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, sim
         "texts",
     )
     joiner = _Joiner(nodes, texts, similarity)
+    # Groups that have become one component need no more work.
+    groups = members.withColumn("component", F.col("node"))
     for turn in range(3):
-        joiner.take(_led(members, joiner.names, similarity, turn))
-    pairs, many = _whole(members, joiner.names, similarity)
+        joiner.take(_led(groups, similarity, turn))
+        groups = _open(groups, joiner.names)
+    pairs, many = _whole(groups, similarity)
+    unlike = stored(groups.join(many, "value", "left_semi"), "unlike")
     joiner.take(pairs)
-    unlike = stored(members.join(many, "value", "left_semi"), "unlike")
     if not unlike.isEmpty():
-        joiner.take(_rest(unlike, texts, joiner.names, similarity))
+        joiner.take(_rest(_open(unlike, joiner.names), texts, similarity))
     return joiner.names
 
 

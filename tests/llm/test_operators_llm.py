@@ -222,6 +222,14 @@ def test_runs_that_link_nothing_are_not_given_out(spark, monkeypatch, listed):
     assert given and sum(given) <= 2 * 3 * 62
 
 
+def test_closed_groups_leave_the_rounds(spark):
+    """Members of groups that have become one component are not carried on."""
+    members = spark.createDataFrame([(1, 1, 9), (1, 2, 9), (2, 1, 9), (2, 3, 9)], "value long, node long, n_words long")
+    names = spark.createDataFrame([(1, 1), (2, 1), (3, 3)], "node long, component long")
+    left = order_minhash._open(members, names).collect()
+    assert {(x.value, x.node, x.component) for x in left} == {(2, 1, 1), (2, 3, 3)}
+
+
 @pytest.mark.parametrize("percent", [3, 8, 12, 15, 19])
 def test_edited_texts_are_found(spark, percent):
     """Words replaced evenly; of the pairs that the definition calls alike at least nine in ten are in one class."""
