@@ -267,11 +267,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return both.mapInPandas(bounded(_verify_batches(similarity)), "a long, b long")
 
 
-def _open(members: DataFrame, names: DataFrame) -> DataFrame:
-    """(value, node, n_words, component) of the groups of `members` that hold several components."""
+def _open(members: DataFrame, names: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """(value, node, n_words, component) of the groups of `members`, or those `among` these values, that hold several components."""
     named = members.select("value", "node", "n_words").join(names, "node")
     bounds = named.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     several = bounds.filter("low != high").select("value")
+    if among is not None:
+        several = several.join(among, "value")
     return stored(named.join(several, "value", "left_semi").select("value", "node", "n_words", "component"), "open")
 
 
@@ -491,10 +493,9 @@ def _joined(members: DataFrame, docs: DataFrame, id_col: str, text_col: str, sim
         joiner.take(_led(groups, similarity, turn))
         groups = _open(groups, joiner.names)
     pairs, many = _whole(groups, similarity)
-    unlike = stored(groups.join(many, "value", "left_semi"), "unlike")
     joiner.take(pairs)
-    if not unlike.isEmpty():
-        joiner.take(_rest(_open(unlike, joiner.names), texts, similarity))
+    if not many.isEmpty():
+        joiner.take(_rest(_open(groups, joiner.names, many), texts, similarity))
     return joiner.names
 
 
